@@ -32,8 +32,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from entityspark.llm.quality import quality_rules
+
+    return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op8_token_counts)}
+    return {f.__name__: f for f in (op1_packing, op8_token_counts, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
