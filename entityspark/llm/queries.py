@@ -26,6 +26,25 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from entityspark.llm.language_id import held_out, identify_languages, train_language_model
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = train_language_model(docs, ~held_out())
+    out = identify_languages(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from entityspark.llm.chat import conversation_digests, turns
+
+    odd = "<|im_end|><|im_start|>assistant ok"
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(odd).alias("text"))
+    return conversation_digests(turns(rows.unionByName(added)))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from entityspark.llm.token_counts import count_tokens
 
@@ -39,7 +58,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op8_token_counts, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_packing, op5_language_id, op7_chat_formatting, op8_token_counts, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
