@@ -38,7 +38,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> D
             keys, starts, totals, salts, ids = [], [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 words = _SPLIT.split(text or "")
-                new = list(set(words) - cache.keys())
+                new = [w for w in set(words) if w not in cache]
                 if new:
                     if len(cache) > _CACHE:
                         cache.clear()

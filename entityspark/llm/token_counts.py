@@ -66,12 +66,12 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 512, id_col: str
             total = 0
             for piece in pieces(text):
                 found = find(piece)
-                rest = list(set(found) - cache.keys())
+                rest = [w for w in set(found) if w not in cache]
                 if rest:
                     if len(cache) > _CACHE:
                         cache.clear()
                         cache.update(known.value)
-                        rest = list(set(found) - cache.keys())
+                        rest = [w for w in set(found) if w not in cache]
                     cache.update(zip(rest, (len(e.ids) for e in tok.encode_batch_fast(rest, add_special_tokens=False))))
                 total += sum(map(cache.__getitem__, found))
             return total
