@@ -51,6 +51,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from entityspark.llm.minhash import minhash_components
+
+    return minhash_components(read(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from entityspark.llm.quality import quality_rules
 
@@ -58,7 +64,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op5_language_id, op7_chat_formatting, op8_token_counts, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_packing, op5_language_id, op7_chat_formatting, op8_token_counts, op9_minhash, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
