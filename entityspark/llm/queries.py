@@ -26,6 +26,21 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from entityspark.llm.suffix_dedup import remove_repeats
+
+    out = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_spans = F.coalesce(F.size("spans"), F.lit(0))
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                      F.greatest(n_spans, F.lit(0)).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from entityspark.llm.embedding_dedup import embedding_components
+
+    return embedding_components(read(spark, sf_dir, "embeddings"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from entityspark.llm.language_id import held_out, identify_languages, train_language_model
 
@@ -64,7 +79,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op5_language_id, op7_chat_formatting, op8_token_counts, op9_minhash, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_packing, op3_suffix_dedup, op4_embedding_dedup, op5_language_id, op7_chat_formatting, op8_token_counts, op9_minhash, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
