@@ -31,6 +31,11 @@ def docs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
+def hinted(keys: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """Written keys for the small side of a join: broadcast if counted to be at most so many, else merged."""
+    return keys.hint("broadcast" if keys.count() <= most else "merge")
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column and the offsets of its rows; null counts as empty."""
     column = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).cast(pa.large_binary())

@@ -26,6 +26,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from entityspark.llm.line_dedup import dedup_lines
+
+    out = dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from entityspark.llm.suffix_dedup import remove_repeats
 
@@ -79,7 +86,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_suffix_dedup, op4_embedding_dedup, op5_language_id, op7_chat_formatting, op8_token_counts, op9_minhash, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op3_suffix_dedup, op4_embedding_dedup, op5_language_id, op7_chat_formatting, op8_token_counts, op9_minhash, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
