@@ -57,6 +57,18 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: tokens, a digest of all ids in order, and whether decoding gives the text back."""
+    from entityspark.llm.sentence_pieces import decode_pieces, encode_pieces
+
+    model = tokenizer_path("piece_bpe_32k.model")
+    out = decode_pieces(encode_pieces(read(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    part = out.groupBy("doc_id", "row_id").agg(F.count("*").alias("n_chunks"), F.sum(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                                               F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", F.crc32("ids").alias("crc")))), lambda x: x["crc"].cast("string")), ",").alias("ids_crc32"),
+                                               F.bool_and(F.col("decoded") == F.col("text")).alias("lossless"))
+    return part.drop("row_id")
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     from entityspark.llm.chat import conversation_digests, turns
 
@@ -86,7 +98,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op3_suffix_dedup, op4_embedding_dedup, op5_language_id, op7_chat_formatting, op8_token_counts, op9_minhash, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op3_suffix_dedup, op4_embedding_dedup, op5_language_id, op6_sentence_pieces, op7_chat_formatting, op8_token_counts, op9_minhash, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
