@@ -300,11 +300,12 @@ def _split_grams(hot: DataFrame, length: int, schema: str) -> DataFrame:
     return hot.groupBy("fp", "sub").cogroup(met.groupBy("fp", "sub")).applyInArrow(mark, schema)
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, text_col: str = "text", whole_chars: bool = False) -> DataFrame:
     """All columns of docs with n_bytes, spans (removed byte runs) and kept (the remaining bytes) for every row.
 
     Null text counts as empty; texts shorter than length keep everything; repeated rows and copies of long texts lose
     everything, each of them; all strings are judged on the input. Columns of docs with these names are replaced.
+    whole_chars: a run that starts or ends inside a character leaves that character, so kept stays valid UTF-8.
     """
     arrow_batches(docs.sparkSession)
     docs = docs.drop("d1", "d2", "spans", "kept", "n_bytes")
@@ -320,8 +321,14 @@ def remove_repeats(docs: DataFrame, length: int = 400, text_col: str = "text") -
                 text = data[offsets[i]:offsets[i + 1]].tobytes()
                 at, out = 0, []
                 for run in runs or ():
-                    out.append(text[at:run["from"]])
-                    at = run["to"]
+                    a, b = run["from"], run["to"]
+                    if whole_chars:
+                        while a < b and text[a] & 0xC0 == 0x80:
+                            a += 1
+                        while b > a and b < len(text) and text[b] & 0xC0 == 0x80:
+                            b -= 1
+                    out.append(text[at:a])
+                    at = b
                 kept.append(b"".join(out) + text[at:])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.diff(offsets)), pa.array(kept, pa.binary())], [*names, "n_bytes", "kept"])
 
