@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import os
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,46 +13,81 @@ from pyspark.sql import functions as F
 
 from entityspark.llm.common import arrow_batches, docs_of
 
-_SPLIT = re.compile("[ \t\n\r]+")
-_CACHE = 300_000
+#: The tokenizer's units in lower-cased text, for the characters below (tested against the library).
+_UNITS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+_OTHER = re.compile("[^\t\n\r\x20-\x7e¡-±´-¸º»¿-įı-ɏ‐-‧€]")
+_CACHE, _GROUP = 900_000, 1 << 20
 K1, B = 1.2, 0.75
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> DataFrame:
-    """doc_id, start, doc_tokens, ids: every document's ids with the end id, cut at multiples of window.
+class WordEncoder:
+    """Ids of whole texts as bytes (unsigned 32-bit little-endian), for a tokenizer that drops white space and marks the
+    ends of its units: units are encoded once, many in one call, and looked up after that. Texts with special strings
+    or characters outside the list above go to the library whole. The cache is bounded."""
 
-    ids holds unsigned 32-bit little-endian integers. Words are encoded once per worker and looked up after that,
-    which is exact for a tokenizer that drops white space: no merge and no normal form reaches across it.
-    """
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
+        self.tok = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.ends = np.zeros(self.tok.get_vocab_size(), bool)
+        for token, i in self.tok.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
+        self.cache: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        units = [None if _OTHER.search(t) or any(s in t for s in self.special) else _UNITS.findall(t.lower()) for t in texts]
+        if len(self.cache) > _CACHE:
+            self.cache.clear()
+        cache = self.cache
+        new = [u for u in set().union(*(found for found in units if found)) if u not in cache]
+        if new:
+            ids = np.array(self.tok.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
+            cuts, raw, at = (np.flatnonzero(self.ends[ids]) + 1).tolist(), ids.tobytes(), 0
+            if len(cuts) != len(new):
+                raise ValueError("the tokenizer does not mark the ends of its units")
+            for unit, end in zip(new, cuts):
+                cache[unit] = raw[4 * at:4 * end]
+                at = end
+        return [np.array(self.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if found is None else b"".join(map(cache.__getitem__, found))
+                for t, found in zip(texts, units)]
+
+
+def groups(texts: list[str | None], chars: int = _GROUP) -> Iterator[list[str]]:
+    """Texts in groups of about so many characters; null counts as empty."""
+    group, size = [], 0
+    for t in texts:
+        group.append(t or "")
+        size += len(group[-1])
+        if size > chars:
+            yield group
+            group, size = [], 0
+    yield group
+
+
+def token_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> DataFrame:
+    """doc_id, start, doc_tokens, salt, ids: every document's ids with the end id, cut at multiples of window.
+    ids holds unsigned 32-bit little-endian integers; salt is the row's place in its task."""
     arrow_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(tokenizer)
-        cache: dict[str, bytes] = {"": b""}
-        end = np.uint32(end_id).tobytes()
-        row = 0
+        encoder, end, row = WordEncoder(tokenizer), np.uint32(end_id).tobytes(), 0
         for batch in batches:
             keys, starts, totals, salts, ids = [], [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                words = _SPLIT.split(text or "")
-                new = [w for w in set(words) if w not in cache]
-                if new:
-                    if len(cache) > _CACHE:
-                        cache.clear()
-                        cache[""] = b""
-                        new = [w for w in set(words) if w]
-                    cache.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(new, add_special_tokens=False))))
-                flat = b"".join(map(cache.__getitem__, words)) + end
-                for at in range(0, len(flat), 4 * window):
-                    keys.append(i)
-                    starts.append(at // 4)
-                    totals.append(len(flat) // 4)
-                    salts.append(row)
-                    ids.append(flat[at:at + 4 * window])
-                row += 1
+            i = 0
+            for group in groups(batch.column(1).to_pylist()):
+                for flat in encoder.encode(group):
+                    flat += end
+                    for at in range(0, len(flat), 4 * window):
+                        keys.append(i)
+                        starts.append(at // 4)
+                        totals.append(len(flat) // 4)
+                        salts.append(row)
+                        ids.append(flat[at:at + 4 * window])
+                    row += 1
+                    i += 1
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keys, pa.int64())), pa.array(starts, pa.int64()), pa.array(totals, pa.int64()),
                                               pa.array(salts, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "start", "doc_tokens", "salt", "ids"])
 
