@@ -1,4 +1,719 @@
-"""Registered queries of the directory jobs and their SQL."""
+"""Registered queries of the directory jobs, each on whole driver tables, and the same in DuckDB SQL.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+Listings are derived from `part` (one row each), customers from `customer`, web results and pages from `pages`, runs and
+ingest from `events`; every query's work grows with its table.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from entityspark.functions import scoring as S
+from entityspark.functions import text as X
+from entityspark.operators import contrast, coverage, geo, golden, matching, places, quality, records, reports
+from entityspark.plans.resolution import resolve
+from entityspark.sources import flatten, tables, webpages
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+# ---------------------------------------------------------------- derived listings, in both engines
+
+RECORDS = """SELECT p_partkey AS record_id,
+  CASE p_partkey % 6 WHEN 0 THEN 'rues' WHEN 1 THEN 'google_maps' WHEN 2 THEN 'paginas_amarillas' WHEN 3 THEN 'serper' WHEN 4 THEN 'foursquare' ELSE 'openstreetmap' END AS source,
+  CASE p_partkey % 4 WHEN 0 THEN concat('FERRETERÍA ', upper(p_name), ' ', p_type, ' S.A.S.') WHEN 1 THEN concat('Ferretería  ', p_name, ' ', lower(p_type))
+       WHEN 2 THEN concat(p_name, ' ', p_type, ' Ltda.') ELSE concat('Depósito ', p_name, ' ', p_brand) END AS name,
+  concat('MUNICIPIO ', CAST((p_partkey * 7) % 25 AS VARCHAR(9))) AS place,
+  CASE WHEN p_partkey % 5 = 0 THEN CAST(900000000 + p_partkey % 311 AS VARCHAR(12)) WHEN p_partkey % 5 = 1 THEN '' END AS nit,
+  CASE WHEN p_partkey % 3 <> 0 THEN concat('+57 300 ', lpad(CAST((p_partkey % 1000) * 37 AS VARCHAR(9)), 7, '0')) END AS phone,
+  CASE WHEN p_partkey % 4 = 1 THEN concat('Ventas', CAST(p_partkey % 500 AS VARCHAR(9)), '@EXAMPLE.COM') WHEN p_partkey % 11 = 0 THEN 'no-es-email' END AS email,
+  concat('Cra ', CAST(p_size AS VARCHAR(9)), ' # ', CAST(p_partkey % 13 AS VARCHAR(9)), '-20') AS address,
+  CASE WHEN p_partkey % 7 <> 0 THEN 4.6e0 + (p_partkey % 53) * 0.0003e0 ELSE 0.0e0 END AS lat,
+  CASE WHEN p_partkey % 7 <> 0 THEN -74.1e0 + (p_partkey % 59) * 0.0003e0 ELSE 0.0e0 END AS lon,
+  CAST(p_partkey % 100 AS INT) AS score, p_partkey % 3 <> 1 AS approved FROM """
+
+
+def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(RECORDS + "{part}", part=read(spark, sf_dir, "part"))
+
+
+def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.normalize_records(listings(spark, sf_dir))
+
+
+_NAME = (r"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(strip_accents(coalesce(name, ''))), 'en liquidacion(\s+judicial)?', '', 'g'), "
+         r"'(^|\s)s[\s.]*a[\s.]*s[\s.]*(\s|$)|(^|\s)s[\s.]*a[\s.]*(\s|$)|(^|\s)e[\s.]*u[\s.]*(\s|$)', ' ', 'g'), '\b(sas|sa|ltda|limitada|cia|compania|spa|eirl|eu|empresa|asociacion)\b', ' ', 'g'), "
+         r"""'[.,;:\-*()/&"]+', ' ', 'g'), '\s+', ' ', 'g'))""")
+_PHONE = "CASE WHEN length(regexp_replace(regexp_replace(phone, '[+]?57', ''), '[^0-9]', '', 'g')) >= 7 THEN regexp_replace(regexp_replace(phone, '[+]?57', '', 'g'), '[^0-9]', '', 'g') END"
+_EMAIL = r"CASE WHEN regexp_matches(lower(trim(email)), '^[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,}$') THEN lower(trim(email)) END"
+REC = f"rec AS ({RECORDS} part)"
+NORM = (f"{REC}, norm AS (SELECT *, {_NAME} AS name_norm, strip_accents(lower(trim(place))) AS place_norm, {_PHONE} AS phone_norm, {_EMAIL} AS email_norm, "
+        "strip_accents(lower(trim(address))) AS address_norm, regexp_replace(nit, '[^0-9]', '', 'g') AS key_nit FROM rec)")
+
+
+def _grams(c: str) -> str:
+    return (f"list_distinct(flatten(list_transform(list_filter(regexp_split_to_array(lower({c}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> ''), "
+            "lambda w: list_transform(range(1, length(w) + 2), lambda i: substring('  ' || w || ' ', i, 3)))))")
+
+
+def _sim(a: str, b: str) -> str:
+    return f"coalesce(CAST(CAST(len(list_intersect({a}, {b})) AS DOUBLE) / nullif(len({a}) + len({b}) - len(list_intersect({a}, {b})), 0) AS FLOAT)::DOUBLE, 0.0)"
+
+
+GRAMS = f"{NORM}, tri AS (SELECT *, {_grams('name_norm')} AS ng, {_grams('address_norm')} AS ag FROM norm)"
+_DIST = ("acos(greatest(-1.0, least(1.0, sin(radians(a.lat)) * sin(radians(b.lat)) + cos(radians(a.lat)) * cos(radians(b.lat)) * cos(radians(a.lon - b.lon))))) * 6371000")
+EXACT = f"""exact_ AS (
+  SELECT a.record_id AS a, b.record_id AS b, 'name_place' AS rule, 100 AS score, 'auto_match' AS decision, 1 AS rank FROM norm a JOIN norm b USING (name_norm, place_norm) WHERE a.record_id < b.record_id AND length(name_norm) >= 4
+  UNION ALL SELECT a.record_id, b.record_id, 'nit', 100, 'auto_match', 2 FROM norm a JOIN norm b USING (key_nit) WHERE a.record_id < b.record_id AND length(key_nit) >= 8
+  UNION ALL SELECT a.record_id, b.record_id, 'email_place', 85, 'auto_match', 4 FROM norm a JOIN norm b USING (email_norm, place_norm) WHERE a.record_id < b.record_id
+  UNION ALL SELECT a.record_id, b.record_id, 'phone_place', 85, 'auto_match', 5 FROM norm a JOIN norm b USING (phone_norm, place_norm) WHERE a.record_id < b.record_id AND length(phone_norm) >= 7)"""
+FUZZY = f"""fuzzy AS (
+  SELECT a, b, 'similar_name' AS rule, CASE WHEN s >= 0.85 THEN 85 WHEN s >= 0.80 THEN 80 ELSE 75 END AS score, 'pending' AS decision, 6 AS rank FROM (SELECT a.record_id AS a, b.record_id AS b, {_sim('a.ng', 'b.ng')} AS s
+    FROM tri a JOIN tri b USING (place_norm) WHERE a.record_id < b.record_id AND length(a.name_norm) >= 4 AND length(b.name_norm) >= 4) WHERE s >= 0.75::DOUBLE
+  UNION ALL SELECT a.record_id, b.record_id, 'similar_address', 70, 'pending', 7 FROM tri a JOIN tri b USING (place_norm) WHERE a.record_id < b.record_id AND length(a.address_norm) >= 8 AND {_sim('a.ag', 'b.ag')} >= 0.80::DOUBLE
+  UNION ALL SELECT a.record_id, b.record_id, 'near_name', 80, 'pending', 8 FROM tri a JOIN tri b ON a.record_id < b.record_id AND abs(a.lat - b.lat) < 0.001 AND abs(a.lon - b.lon) < 0.001
+    WHERE NOT (a.lat = 0 AND a.lon = 0) AND NOT (b.lat = 0 AND b.lon = 0) AND {_DIST} < 50 AND {_sim('a.ng', 'b.ng')} >= 0.70::DOUBLE)"""
+MATCHES = f"{GRAMS}, {EXACT}, {FUZZY}, matches AS (SELECT a, b, arg_min(rule, rank) AS rule, arg_min(score, rank) AS score, arg_min(decision, rank) AS decision FROM (SELECT * FROM exact_ UNION ALL SELECT * FROM fuzzy) GROUP BY a, b)"
+#: Clusters over confirmed links only, which are the exact rules.
+CLUSTERS = f"""{NORM}, {EXACT}, edge AS (SELECT DISTINCT a, b FROM exact_), both_ AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge),
+  reach(n, m) AS (SELECT a, b FROM both_ UNION SELECT reach.n, both_.b FROM reach JOIN both_ ON reach.m = both_.a),
+  clustered AS (SELECT norm.*, least(record_id, coalesce((SELECT min(m) FROM reach WHERE n = record_id), record_id)) AS entity FROM norm)"""
+
+
+def _first(column: str, sources: list[str]) -> str:
+    return "coalesce(" + ", ".join([f"max({column}) FILTER (source = '{s}')" for s in sources] + [f"max({column})"]) + ")"
+
+
+_HAVE = {"nit", "name", "name_norm", "place_norm", "address", "address_norm", "lat", "lon", "phone_norm", "email_norm"}
+_GOLD = ", ".join((f"nullif({_first(c, s)}, '')" if f in golden.BLANK_IS_NULL else _first(c, s)) + f" AS {f}" for f, (c, s) in golden.PRIORITY.items() if c in _HAVE)
+_RANK = "CASE source " + " ".join(f"WHEN '{s}' THEN {i + 1}" for i, s in enumerate(golden.SOURCE_ORDER)) + " END"
+GOLDEN = f"""{CLUSTERS}, golden AS (SELECT entity, {_GOLD}, arg_min(source, {_RANK} * 1000000000000 + record_id) AS main_source, list_sort(list(DISTINCT source)) AS sources, count(DISTINCT source) AS n_sources FROM clustered GROUP BY entity),
+  kept AS (SELECT * FROM golden QUALIFY nit IS NULL OR row_number() OVER (PARTITION BY nit ORDER BY entity) = 1)"""
+_QUALITY = ("(CASE WHEN nit IS NOT NULL THEN 25 ELSE 0 END + CASE WHEN name IS NOT NULL THEN 15 ELSE 0 END + CASE WHEN place IS NOT NULL THEN 10 ELSE 0 END + CASE WHEN address IS NOT NULL THEN 10 ELSE 0 END + "
+            "CASE WHEN phone IS NOT NULL THEN 15 ELSE 0 END + CASE WHEN email IS NOT NULL THEN 10 ELSE 0 END + CASE WHEN lat IS NOT NULL AND lon IS NOT NULL THEN 10 ELSE 0 END + "
+            "CASE WHEN list_contains(sources, 'rues') THEN 20 ELSE 0 END + CASE WHEN len(sources) >= 2 THEN 15 ELSE 0 END)")
+ENTITIES = f"{GOLDEN}, entities AS (SELECT *, CAST({_QUALITY} AS INT) AS quality, {_QUALITY} >= 80 AS approved FROM kept)"
+
+
+def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = normalized(spark, sf_dir)
+    return golden.cluster_records(d, matching.resolve_rules([matching.match_on(d, k, r, s, guard=g, pairs="star") for r, k, s, g in matching.EXACT_RULES if all(c in d.columns for c in k)]))
+
+
+def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _clustered(spark, sf_dir)
+    stats = c.groupBy("entity").agg(F.array_sort(F.collect_set("source")).alias("sources"), F.count_distinct("source").alias("n_sources"))
+    return quality.quality_score(golden.unique_on(golden.merge_golden(c)).join(stats, "entity"))
+
+
+def resolved_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolve(listings(spark, sf_dir)).entities
+
+
+@query("resolution", None)
+def resolution(spark, sf):
+    """The whole job, review links and inactive register-only entities included."""
+    return resolved_entities(spark, sf)
+
+
+# ---------------------------------------------------------------- scalars
+
+_PART_NAMES = f"WITH {REC} SELECT record_id, "
+
+
+@query("t01_t14_bulk_normalizers", f"WITH {NORM} SELECT record_id, name_norm, place_norm, phone_norm, email_norm, address_norm, key_nit, concat(name_norm, '|', place_norm) AS key_name_place FROM norm")
+def bulk_normalizers(spark, sf):
+    return normalized(spark, sf).select("record_id", "name_norm", "place_norm", "phone_norm", "email_norm", "address_norm", "key_nit", "key_name_place")
+
+
+_LEGAL = ", ".join(f"'{w}'" for w in X.LEGAL_WORDS)
+
+
+@query("t02_normalize_name", _PART_NAMES + r"nullif(array_to_string(list_filter(regexp_split_to_array(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(strip_accents(trim(name))), '\bs\.a\.s\.?\b', ' ', 'g'), '\bs\.a\.?\b', ' ', 'g'), '\be\.u\.?\b', ' ', 'g'), '[.,;:\-*()]+', ' ', 'g'), '\s+'), lambda w: w <> '' AND w NOT IN (" + _LEGAL + ")), ' '), '') AS v FROM rec")
+def t02(spark, sf):
+    return listings(spark, sf).select("record_id", X.normalize_name(F.col("name")).alias("v"))
+
+
+@query("t04_normalize_name_upper", _PART_NAMES + r"trim(regexp_replace(regexp_replace(strip_accents(upper(trim(name))), '[^\w\s]', ' ', 'g'), '\s+', ' ', 'g')) AS v FROM rec")
+def t04(spark, sf):
+    return listings(spark, sf).select("record_id", X.normalize_name_upper(F.col("name")).alias("v"))
+
+
+@query("t05_t09_phones", f"""WITH {REC}, a AS (SELECT record_id, phone, regexp_replace(trim(phone), '[\\s\\-()]+', '', 'g') AS t FROM rec),
+  b AS (SELECT record_id, phone, regexp_replace(CASE WHEN starts_with(t, '+57') THEN substring(t, 4) WHEN starts_with(t, '57') AND length(t) > 10 THEN substring(t, 3) ELSE t END, '[^0-9]', '', 'g') AS d FROM a),
+  c AS (SELECT record_id, phone, CASE WHEN length(d) >= 7 THEN right(d, 10) END AS normal, regexp_replace(phone, '[^0-9]', '', 'g') AS e FROM b)
+  SELECT record_id, normal, CASE WHEN length(e) = 12 AND starts_with(e, '57') THEN '+' || e WHEN length(e) = 10 AND starts_with(e, '3') THEN '+57' || e ELSE phone END AS e164,
+  CASE WHEN length(normal) = 10 AND starts_with(normal, '3') THEN 'mobile' WHEN length(normal) = 10 AND starts_with(normal, '6') THEN 'landline' ELSE 'unknown' END AS kind,
+  CASE WHEN regexp_matches(normal, '^3[0-9]{{9}}$') THEN 'mobile' WHEN regexp_matches(normal, '^6') THEN 'landline' ELSE 'unknown' END AS contact_kind FROM c""")
+def phones(spark, sf):
+    n = X.normalize_phone(F.col("phone"))
+    return listings(spark, sf).select("record_id", n.alias("normal"), X.phone_e164(F.col("phone")).alias("e164"), X.classify_phone(n).alias("kind"), X.contact_phone_type(n).alias("contact_kind"))
+
+
+_STREETS = "strip_accents(lower(trim(address)))"
+for _p, _w in X.STREETS:
+    _STREETS = f"regexp_replace({_STREETS}, '{_p}', '{_w}', 'g')"
+
+
+@query("t12_normalize_address", _PART_NAMES + f"trim(regexp_replace({_STREETS}, '\\s+', ' ', 'g')) AS v FROM rec")
+def t12(spark, sf):
+    return listings(spark, sf).select("record_id", X.normalize_address(F.col("address")).alias("v"))
+
+
+_UPPER = "regexp_replace(strip_accents(upper(trim(address))), '[#\\-°]', ' ', 'g')"
+for _p, _w in X.STREETS_UPPER:
+    _UPPER = f"regexp_replace({_UPPER}, '{_p}', '{_w}', 'g')"
+
+
+@query("t13_normalize_address_upper", _PART_NAMES + f"trim(regexp_replace(regexp_replace({_UPPER}, '[^\\w\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS v FROM rec")
+def t13(spark, sf):
+    return listings(spark, sf).select("record_id", X.normalize_address_upper(F.col("address")).alias("v"))
+
+
+@query("t15_t17_places", r"""SELECT c_custkey, trim(regexp_replace(regexp_replace(v, '[.,;:]', '', 'g'), '\s+', ' ', 'g')) AS lower_, regexp_replace(regexp_replace(regexp_replace(v, '[\s_]+', '-', 'g'), '[^a-z0-9-]', '', 'g'), '-+', '-', 'g') AS slug,
+  strip_accents(trim(CASE WHEN contains(v, ' para ') THEN split_part(v, ' para ', 1) WHEN contains(v, ' del ') THEN split_part(v, ' del ', -1) WHEN contains(v, ' de la ') THEN split_part(v, ' de la ', -1) ELSE v END)) AS city
+  FROM (SELECT c_custkey, lower(concat(c_mktsegment, CASE c_custkey % 4 WHEN 0 THEN ' para el ' WHEN 1 THEN ' del ' WHEN 2 THEN ' de la ' ELSE ' y ' END, 'Zona ', c_nationkey % 7)) AS v FROM customer)""")
+def t15(spark, sf):
+    v = F.concat("c_mktsegment", F.expr("CASE c_custkey % 4 WHEN 0 THEN ' para el ' WHEN 1 THEN ' del ' WHEN 2 THEN ' de la ' ELSE ' y ' END"), F.lit("Zona "), (F.col("c_nationkey") % 7).cast("string"))
+    return read(spark, sf, "customer").select("c_custkey", X.normalize_place(v).alias("lower_"), X.normalize_place(v, "slug").alias("slug"), X.chamber_to_city(v).alias("city"))
+
+
+@query("t18_parse_dates", """SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS v FROM orders""")
+def t18(spark, sf):
+    raw = F.when(F.col("o_orderkey") % 7 == 0, "99991231").when(F.col("o_orderkey") % 7 == 1, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    return read(spark, sf, "orders").select("o_orderkey", X.parse_yyyymmdd(raw).alias("v"))
+
+
+_HTML = ("regexp_replace(replace(replace(replace(replace(regexp_replace(html, '(?i)<br\\s*/?>', chr(10), 'g'), '&nbsp;', ' '), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '<[^>]+>', ' ', 'g')")
+HTML_TEXT = f"regexp_replace(regexp_replace(regexp_replace({_HTML}, '[ \\t]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g')"
+
+
+@query("t19_html_to_text", f"SELECT page_id, {HTML_TEXT} AS v FROM pages")
+def t19(spark, sf):
+    return read(spark, sf, "pages").select("page_id", X.html_to_text(F.col("html")).alias("v"))
+
+
+@query("t20_t22_urls", r"""SELECT page_id, replace(lower(regexp_extract(url, '://([^/?#]*)', 1)), 'www.', '') AS domain, split_part(url, '?', 1) AS canonical, md5(lower(trim(url))) AS hash,
+  sha256(concat_ws('|', 'organic', lower(trim(url)), replace(lower(regexp_extract(url, '://([^/?#]*)', 1)), 'www.', ''))) AS result_hash FROM pages""")
+def t20(spark, sf):
+    u = F.col("url")
+    return read(spark, sf, "pages").select("page_id", X.domain_of(u).alias("domain"), X.canonical_url(u).alias("canonical"), X.listing_hash(u).alias("hash"), X.listing_hash(F.lit("organic"), u, X.domain_of(u), sep="|", sha=True).alias("result_hash"))
+
+
+@query("t25_extract_contacts", r"""SELECT page_id, list_sort(list_distinct(regexp_extract_all(lower(html), '[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,}'))) AS emails,
+  list_filter(list_sort(list_distinct(regexp_extract_all(html, '\+?[0-9][0-9 ()\-]{5,16}[0-9]'))), lambda p: length(regexp_replace(p, '[^0-9]', '', 'g')) BETWEEN 7 AND 13) AS phones FROM pages""")
+def t25(spark, sf):
+    return read(spark, sf, "pages").select("page_id", X.extract_emails(F.col("html")).alias("emails"), X.extract_phones(F.col("html")).alias("phones"))
+
+
+@query("t26_t27_u17_page_contacts")
+def page_contacts(spark, sf):
+    pages = read(spark, sf, "pages")
+    results = pages.select(F.lit("organic").alias("result_type"), "url", F.lit(None).cast("string").alias("email"), F.lit("").alias("phone"))
+    return webpages.propagate_contacts(results, webpages.contacts_of(pages))
+
+
+@query("t28_facts", r"""SELECT doc_id, nullif(regexp_extract(text, '(?i)\bNIT\s*:?\s*([0-9]{8,10})', 1), '') AS nit, nullif(regexp_replace(regexp_extract(text, '(?:\+?57[ -]?)?(3[0-9]{2}[ -]?[0-9]{3}[ -]?[0-9]{4})', 1), '[^0-9]', '', 'g'), '') AS phone,
+  nullif(regexp_extract(lower(text), '[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,}', 0), '') AS email FROM documents""")
+def t28(spark, sf):
+    return read(spark, sf, "documents").select("doc_id", X.facts_of(F.col("text")).alias("f")).select("doc_id", "f.*")
+
+
+@query("t29_trigram_similarity", f"WITH {GRAMS} SELECT a.record_id AS a, b.record_id AS b, round({_sim('a.ng', 'b.ng')}, 6) AS s FROM tri a JOIN tri b ON b.record_id = a.record_id + 1")
+def t29(spark, sf):
+    d = normalized(spark, sf).select("record_id", "name_norm")
+    other = d.select((F.col("record_id") - 1).alias("record_id"), F.col("name_norm").alias("o"), F.col("record_id").alias("b"))
+    return d.join(other, "record_id").select(F.col("record_id").alias("a"), "b", F.round(X.trigram_similarity(F.col("name_norm"), F.col("o")), 6).alias("s"))
+
+
+@query("t31_g1_distance", f"""WITH {REC} SELECT record_id, round(acos(greatest(-1.0, least(1.0, sin(radians(lat)) * sin(radians(4.6)) + cos(radians(lat)) * cos(radians(4.6)) * cos(radians(lon + 74.1))))) * 6371000, 1) AS m,
+  round(2 * 6371 * asin(sqrt(least(1.0, pow(sin(radians(4.6 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(4.6)) * pow(sin(radians(-74.1 - lon) / 2), 2)))), 4) AS km, lat BETWEEN -4.2 AND 13 AND lon BETWEEN -82 AND -67 AS inside FROM rec""")
+def t31(spark, sf):
+    at = (F.col("lat"), F.col("lon"), F.lit(4.6), F.lit(-74.1))
+    return listings(spark, sf).select("record_id", F.round(X.distance_m(*at), 1).alias("m"), F.round(X.haversine_km(*at), 4).alias("km"), geo.in_box(F.col("lat"), F.col("lon")).alias("inside"))
+
+
+@query("t08_t10_t23_x9_x10_parsers", f"""WITH {REC} SELECT record_id, CASE WHEN phone IS NULL THEN NULL ELSE '+' || regexp_replace(phone, '[^0-9]', '', 'g') END AS first_phone, CASE WHEN phone IS NULL THEN NULL ELSE '+573001234567' END AS rest,
+  CASE WHEN phone IS NULL THEN '+57' || record_id::VARCHAR ELSE '+' || regexp_replace(phone, '[^0-9]', '', 'g') END AS whatsapp, lat, round(lon, 6) AS lon, address AS label FROM rec""")
+def parsers(spark, sf):
+    d = listings(spark, sf)
+    both = X.split_phones(F.concat(F.col("phone"), F.lit(" / 300 1234567")))
+    link = F.concat(F.lit("https://maps.example/@0,0!3d"), F.col("lat").cast("string"), F.lit("!4d"), F.round("lon", 6).cast("string"))
+    at = X.coordinates_from_url(link)
+    return d.select("record_id", both["first"].alias("first_phone"), both["rest"].alias("rest"), X.derive_whatsapp(F.col("phone"), F.concat(F.lit("https://wa.me/57"), F.col("record_id").cast("string"))).alias("whatsapp"),
+                    at["lat"].alias("lat"), at["lon"].alias("lon"), X.label_value(F.concat(F.lit("Dirección: "), F.col("address"))).alias("label"))
+
+
+# ---------------------------------------------------------------- relevance
+
+def _score_sql(text: str, rules: list[tuple[int, list[str]]]) -> str:
+    return " + ".join(f"CASE WHEN contains({text}, '{t}') THEN {w} ELSE 0 END" for w, terms in rules for t in terms)
+
+
+@query("k1_k6_relevance", f"""WITH {REC}, t AS (SELECT *, strip_accents(lower(concat(name, ' ', place, ' cemento'))) AS m, lower(concat(name, ' ', address, ' materiales')) AS y, lower(name) AS n FROM rec),
+  o AS (SELECT *, CASE record_id % 5 WHEN 0 THEN 5 WHEN 1 THEN 5 WHEN 2 THEN 1 WHEN 3 THEN 1 ELSE 0 END - CASE WHEN {' OR '.join(f"contains(n, '{w}')" for w in S.OSM_NEGATIVE)} THEN 10 ELSE 0 END AS base FROM t)
+  SELECT record_id, CAST({_score_sql('m', S.MAPS)} AS INT) AS maps, CAST({_score_sql('y', S.YELLOW_PAGES)} AS INT) AS yellow,
+  CAST({_score_sql("concat(n, '  ', 'hardware store')", S.PLACES)} + CASE WHEN record_id % 2 = 0 THEN 5 ELSE 0 END AS INT) AS places,
+  CAST({_score_sql("concat(n, ' ', lower(place))", S.REGISTER)} + CASE WHEN record_id % 10 = 0 THEN 5 ELSE 0 END AS INT) AS register,
+  CAST(base + CASE WHEN base >= 0 THEN {_score_sql('n', [(2, S.OSM_POSITIVE)])} ELSE 0 END AS INT) AS osm,
+  CAST({_score_sql("concat(n, ' ', lower(address), '   https://www.ferreteria.co/a')", S.WEB_SEARCH)} + 2 AS INT) AS web FROM o""")
+def relevance(spark, sf):
+    d = listings(spark, sf)
+    name, none = F.col("name"), F.lit(None).cast("string")
+    category = F.array(F.struct(F.when(F.col("record_id") % 2 == 0, "4bf58dd8d48988d112951735").otherwise("x").alias("id"), F.lit("Hardware Store").alias("name")))
+    family = F.element_at(F.array(*map(F.lit, ("hardware", "building_materials", "trade_supplies", "doityourself", "other"))), (F.col("record_id") % 5 + 1).cast("int"))
+    return d.select("record_id", S.maps_score(name, F.array("place"), F.lit("cemento")).alias("maps"), S.yellow_pages_score(name, F.col("address"), F.lit("materiales")).alias("yellow"),
+                    S.places_score(name, none, category).alias("places"), S.register_score(name, F.col("place"), F.when(F.col("record_id") % 10 == 0, "4752")).alias("register"), S.osm_score(name, family).alias("osm"),
+                    S.web_score(name, F.col("address"), none, none, F.lit("https://www.ferreteria.co/a")).alias("web"))
+
+
+# ---------------------------------------------------------------- unify and filter
+
+@query("u1_unify_sources", f"""WITH {REC} SELECT source, raw_id, CASE source WHEN 'google_maps' THEN 0 WHEN 'paginas_amarillas' THEN 1 WHEN 'foursquare' THEN 2 WHEN 'openstreetmap' THEN 3 WHEN 'rues' THEN 4 ELSE 5 END * 1099511627776 + raw_id AS record_id, name,
+  CASE WHEN source = 'foursquare' THEN NULL ELSE phone END AS phone FROM (SELECT *, record_id AS raw_id FROM rec)""")
+def unify(spark, sf):
+    d = listings(spark, sf).withColumnRenamed("record_id", "id")
+    parts = {s: d.where(F.col("source") == s).drop("source", *(["phone"] if s == "foursquare" else [])) for s in records.SOURCES}
+    return records.unify_sources(parts).select("source", "raw_id", "record_id", "name", "phone")
+
+
+@query("u2_u7_record_filters", f"WITH {REC} SELECT record_id, coalesce(nullif(trim(nit), ''), phone) AS contact FROM rec WHERE strip_accents(lower(trim(place))) IN ('municipio 1', 'municipio 2', 'municipio 3') AND NOT regexp_matches(name, '(?i)en\\s+liquidaci[oó]n')")
+def record_filters(spark, sf):
+    d = records.drop_in_liquidation(records.in_places(listings(spark, sf), "place", ["municipio 1", "municipio 2", "municipio 3"]))
+    return d.select("record_id", records.prefer("nit", "phone").alias("contact"))
+
+
+_REG = """reg AS (SELECT c_custkey AS id, CAST(c_custkey % 200 AS VARCHAR) AS nit, c_name AS name, CASE c_custkey % 3 WHEN 0 THEN 'ACTIVA' WHEN 1 THEN 'CANCELADA' ELSE 'INACTIVA' END AS status, CAST(c_custkey % 90 AS INT) AS score FROM customer)"""
+
+
+@query("u3_u5_register", f"""WITH {_REG}, one AS (SELECT * FROM reg QUALIFY row_number() OVER (PARTITION BY nit ORDER BY status <> 'ACTIVA', score DESC, id) = 1)
+  SELECT id, nit, CASE WHEN status = 'ACTIVA' THEN score ELSE greatest(0, score - 15) END AS score, status = 'ACTIVA' AS approved FROM one""")
+def register(spark, sf):
+    d = read(spark, sf, "customer").select(F.col("c_custkey").alias("id"), (F.col("c_custkey") % 200).cast("string").alias("nit"), F.col("c_name").alias("name"), F.lit(None).cast("string").alias("legal_name"),
+                                           F.expr("CASE c_custkey % 3 WHEN 0 THEN 'ACTIVA' WHEN 1 THEN 'CANCELADA' ELSE 'INACTIVA' END").alias("status"), (F.col("c_custkey") % 90).cast("int").alias("score"), F.lit(True).alias("approved"))
+    return records.inactive_penalty(records.register_dedup(d)).select("id", "nit", "score", "approved")
+
+
+_PLACES = "places AS (SELECT n_nationkey AS code, concat('municipio ', n_nationkey) AS place_norm, concat('zona ', n_regionkey) AS department_norm FROM nation)"
+
+
+@query("j1_standardize_places", f"WITH {REC}, {_PLACES} SELECT record_id, code AS place_code, coalesce(p.place_norm, lower(place)) AS place_norm, department_norm FROM rec LEFT JOIN places p ON lower(place) = p.place_norm")
+def standardize(spark, sf):
+    n = read(spark, sf, "nation")
+    p = n.select(F.col("n_nationkey").alias("code"), F.concat(F.lit("municipio "), F.col("n_nationkey").cast("string")).alias("place_norm"), F.concat(F.lit("zona "), F.col("n_regionkey").cast("string")).alias("department_norm"))
+    return records.standardize_places(listings(spark, sf), p).select("record_id", "place_code", "place_norm", "department_norm")
+
+
+# ---------------------------------------------------------------- links
+
+@query("j2_exact_links", f"WITH {NORM}, {EXACT} SELECT a, b, rule, score FROM exact_")
+def exact_links(spark, sf):
+    d = normalized(spark, sf)
+    found = [matching.match_on(d, k, r, s, guard=g) for r, k, s, g in matching.EXACT_RULES if all(c in d.columns for c in k)]
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3]).select("a", "b", "rule", "score")
+
+
+@query("j3_j5_fuzzy_links", f"WITH {GRAMS}, {FUZZY} SELECT a, b, rule, score FROM fuzzy")
+def fuzzy_links(spark, sf):
+    d = normalized(spark, sf)
+    return matching.similar_names(d).unionByName(matching.similar_addresses(d)).unionByName(matching.near_names(d)).select("a", "b", "rule", "score")
+
+
+@query("j6_all_matches", f"WITH {MATCHES} SELECT a, b, rule, score, decision FROM matches")
+def all_matches(spark, sf):
+    return matching.all_matches(normalized(spark, sf))
+
+
+@query("j7_j11_hydrated_links", f"""WITH {GRAMS}, {EXACT}, {FUZZY} SELECT f.a, f.b, x.name AS a_name, y.name AS b_name, y.source AS b_source FROM fuzzy f JOIN rec x ON x.record_id = f.a JOIN rec y ON y.record_id = f.b
+  WHERE rule = 'similar_name' AND NOT EXISTS (SELECT 1 FROM exact_ e WHERE e.a = f.a AND e.b = f.b)""")
+def hydrated(spark, sf):
+    d = normalized(spark, sf)
+    known = [matching.match_on(d, k, r, s, guard=g) for r, k, s, g in matching.EXACT_RULES if all(c in d.columns for c in k)]
+    new = matching.unmatched(matching.similar_names(d), matching.resolve_rules(known))
+    return matching.hydrate(new, d, ["name", "source"]).select("a", "b", "a_name", "b_name", "b_source")
+
+
+@query("a14_match_stats", f"WITH {MATCHES} SELECT count(*) FILTER (decision = 'auto_match') AS auto_match, count(*) FILTER (decision = 'pending') AS pending, CAST(0 AS BIGINT) AS ia_match, CAST(0 AS BIGINT) AS no_match, count(*) AS total FROM matches")
+def match_stats(spark, sf):
+    return matching.match_stats(matching.all_matches(normalized(spark, sf)))
+
+
+@query("j17_review", f"""WITH {MATCHES}, v AS (SELECT a, b, CASE (a + b) % 3 WHEN 0 THEN 'ia_match' WHEN 1 THEN 'no_match' END AS d FROM matches WHERE decision = 'pending' AND score BETWEEN 68 AND 74)
+  SELECT m.a, m.b, coalesce(v.d, m.decision) AS decision FROM matches m LEFT JOIN v ON m.a = v.a AND m.b = v.b""")
+def review(spark, sf):
+    m = matching.all_matches(normalized(spark, sf))
+    verdicts = m.where("decision = 'pending' and score between 68 and 74").select("a", "b", F.expr("case (a + b) % 3 when 0 then 'same' when 1 then 'different' else 'error' end").alias("verdict"), F.lit("r").alias("reason"), F.lit(0.9).alias("confidence"))
+    return matching.apply_verdicts(m, verdicts).select("a", "b", "decision")
+
+
+# ---------------------------------------------------------------- clusters and best records
+
+@query("a1_clusters", f"WITH RECURSIVE {CLUSTERS} SELECT record_id, entity FROM clustered")
+def clusters(spark, sf):
+    return _clustered(spark, sf).select("record_id", "entity")
+
+
+@query("a2_a3_golden", f"WITH RECURSIVE {GOLDEN} SELECT entity, nit, name, name_norm, place, address, address_norm, round(lat, 6) AS lat, round(lon, 6) AS lon, phone, email, main_source FROM golden")
+def golden_records(spark, sf):
+    g = golden.merge_golden(_clustered(spark, sf))
+    return g.select("entity", "nit", "name", "name_norm", "place", "address", "address_norm", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "phone", "email", "main_source")
+
+
+@query("a4_a8_entity_stats", f"""WITH RECURSIVE {CLUSTERS}, m AS (SELECT DISTINCT a, b FROM exact_), t AS (SELECT DISTINCT entity, a, b FROM (SELECT entity, a, b FROM m JOIN clustered ON record_id = a UNION ALL SELECT entity, a, b FROM m JOIN clustered ON record_id = b)),
+  u AS (SELECT entity, count(*) AS n FROM t GROUP BY entity) SELECT entity, list_sort(list(DISTINCT source)) AS sources, count(DISTINCT source) AS n_sources, coalesce(max(u.n), 0) AS n_matches, coalesce(max(u.n), 0) AS n_first FROM clustered LEFT JOIN u USING (entity) GROUP BY entity""")
+def entity_stats(spark, sf):
+    d = normalized(spark, sf)
+    m = matching.resolve_rules([matching.match_on(d, k, r, s, guard=g) for r, k, s, g in matching.EXACT_RULES if all(c in d.columns for c in k)])
+    c = golden.cluster_records(d, m)
+    first = quality.matches_per_entity(c, m).withColumnRenamed("n_matches", "n_first")
+    return golden.entity_stats(c, m).join(first, "entity")
+
+
+@query("a5_a7_scored_entities", f"WITH RECURSIVE {ENTITIES} SELECT entity, nit, name, sources, quality, approved FROM entities")
+def scored(spark, sf):
+    return _entities(spark, sf).select("entity", "nit", "name", "sources", "quality", "approved")
+
+
+@query("a6_contact_tables", f"""WITH RECURSIVE {GOLDEN}, d AS (SELECT c.*, k.phone AS kp, k.email AS ke FROM clustered c JOIN kept k USING (entity)),
+  ad AS (SELECT entity, address, source, CASE source WHEN 'rues' THEN 90 WHEN 'google_maps' THEN 85 ELSE 70 END AS confidence FROM d QUALIFY row_number() OVER (PARTITION BY entity, address ORDER BY CASE source WHEN 'rues' THEN 90 WHEN 'google_maps' THEN 85 ELSE 70 END DESC, record_id) = 1)
+  SELECT 'phone' AS kind, entity, phone_norm AS value, source, phone_norm IS NOT DISTINCT FROM kp AS is_main, CASE source WHEN 'rues' THEN 95 WHEN 'google_maps' THEN 85 WHEN 'paginas_amarillas' THEN 80 ELSE 70 END AS confidence FROM d WHERE phone_norm IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT 'email', entity, email_norm, source, email_norm IS NOT DISTINCT FROM ke, CASE source WHEN 'rues' THEN 95 WHEN 'serper' THEN 85 WHEN 'paginas_amarillas' THEN 80 ELSE 70 END FROM d WHERE email_norm IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT 'address', entity, address, source, NULL, confidence FROM ad""")
+def contacts(spark, sf):
+    t = golden.contact_tables(_clustered(spark, sf), _entities(spark, sf))
+    row = lambda d, kind, value, main: d.select(F.lit(kind).alias("kind"), "entity", F.col(value).alias("value"), "source", main.alias("is_main"), "confidence")
+    return row(t["phones"], "phone", "phone", F.col("is_main")).unionAll(row(t["emails"], "email", "email", F.col("is_main"))).unionAll(row(t["addresses"], "address", "address", F.lit(None).cast("boolean")))
+
+
+@query("a9_a10_quality_figures", f"""WITH RECURSIVE {ENTITIES} SELECT count(*) AS total, count(*) FILTER (approved) AS approved, count(*) FILTER (quality BETWEEN 60 AND 79) AS middle, count(*) FILTER (quality < 60) AS low, round(avg(quality), 1) AS average, min(quality) AS least, max(quality) AS most,
+  count(*) FILTER (quality < 20) AS from_0, count(*) FILTER (quality >= 20 AND quality < 40) AS from_20, count(*) FILTER (quality >= 40 AND quality < 60) AS from_40, count(*) FILTER (quality >= 60 AND quality < 80) AS from_60, count(*) FILTER (quality >= 80) AS from_80 FROM entities""")
+def quality_figures(spark, sf):
+    e = _entities(spark, sf)
+    return quality.quality_summary(e).crossJoin(quality.score_histogram(e))
+
+
+_FIELDS = [("name", "name_norm"), ("phone", "phone_norm"), ("email", "email_norm"), ("place", "place_norm")]
+CONFLICTS = f"""{NORM}, long_ AS ({" UNION ALL ".join(f"SELECT record_id, nit, '{f}' AS field, {c} AS value, source FROM norm WHERE trim(nit) <> ''" for f, c in _FIELDS)}),
+  g AS (SELECT nit, field, count(DISTINCT value) AS n_values, list_sort(list(DISTINCT value)) AS "values", list_sort(list(DISTINCT source)) AS sources FROM long_ WHERE value IS NOT NULL GROUP BY nit, field HAVING count(DISTINCT value) > 1),
+  conflicts AS (SELECT record_id, nit, field, CASE field WHEN 'place' THEN 'alta' WHEN 'email' THEN 'baja' ELSE 'media' END AS severity, n_values, "values", sources FROM norm JOIN g USING (nit))"""
+
+
+def _conflicts(spark, sf):
+    return quality.detect_conflicts(normalized(spark, sf), dict(_FIELDS))
+
+
+@query("a11_conflicts", f'WITH {CONFLICTS} SELECT record_id, nit, field, severity, n_values, "values", sources FROM conflicts')
+def conflicts(spark, sf):
+    return _conflicts(spark, sf)
+
+
+@query("a12_invalid_formats", f"WITH {NORM} SELECT record_id, 'email' AS field, email AS value, [source] AS sources FROM norm WHERE trim(email) <> '' AND email_norm IS NULL UNION ALL SELECT record_id, 'phone', phone, [source] FROM norm WHERE trim(phone) <> '' AND phone_norm IS NULL")
+def invalid(spark, sf):
+    return quality.invalid_formats(normalized(spark, sf), {"email": ("email", "email_norm"), "phone": ("phone", "phone_norm")})
+
+
+@query("a13_conflict_summary", f"WITH {CONFLICTS} SELECT field, severity, count(*) AS n, CAST(grouping(field, severity) AS INT) AS level FROM conflicts GROUP BY GROUPING SETS ((field), (severity), ())")
+def conflict_summary(spark, sf):
+    return quality.conflict_summary(_conflicts(spark, sf))
+
+
+@query("a15_a17_reports", f"""WITH RECURSIVE {ENTITIES} SELECT count(*) AS total, count(*) FILTER (approved) AS approved, count(nit) AS with_nit, count(phone) AS with_phone, count(email) AS with_email, count(lat) AS with_lat, round(avg(quality), 2) AS average,
+  count(DISTINCT place) AS places, round(count(*) FILTER (approved) * 100.0 / count(*), 2) AS approval, (SELECT count(*) FROM norm) AS records, (SELECT count(phone_norm) FROM norm) AS phones FROM entities""")
+def entity_report(spark, sf):
+    staging = reports.staging_stats(normalized(spark, sf), ["phone_norm"]).select(F.col("total").alias("records"), F.col("phone_norm").alias("phones"))
+    return reports.entity_report(_entities(spark, sf)).crossJoin(staging)
+
+
+@query("a16_source_distribution", f"WITH RECURSIVE {ENTITIES} SELECT s AS source, count(*) AS n FROM (SELECT unnest(sources) AS s FROM entities) GROUP BY s")
+def source_distribution(spark, sf):
+    return reports.source_distribution(_entities(spark, sf))
+
+
+@query("a18_merge_report", f"""WITH RECURSIVE {GOLDEN} SELECT source, count(phone_norm) AS phone_norm, count(email_norm) AS email_norm, count(nit) AS nit, (SELECT count(*) FROM golden WHERE n_sources > 1) AS multi FROM clustered
+  WHERE entity IN (SELECT entity FROM golden WHERE n_sources > 1) GROUP BY source""")
+def merge_report(spark, sf):
+    c = _clustered(spark, sf)
+    n = c.groupBy("entity").agg(F.count_distinct("source").alias("n_sources"))
+    multi = n.where("n_sources > 1")
+    total = golden.merge_report(n).where("n_sources > 1").agg(F.sum("n_entities").alias("multi"))
+    return golden.source_contribution(c, multi, ["phone_norm", "email_norm", "nit"]).crossJoin(total)
+
+
+@query("a19_field_provenance", f"""WITH RECURSIVE {GOLDEN}, g AS (SELECT entity, 'phone' AS field, phone AS value FROM golden UNION ALL SELECT entity, 'email', email FROM golden UNION ALL SELECT entity, 'address', address FROM golden),
+  r AS (SELECT entity, 'phone' AS field, phone_norm AS value, source, record_id FROM clustered UNION ALL SELECT entity, 'email', email_norm, source, record_id FROM clustered UNION ALL SELECT entity, 'address', address, source, record_id FROM clustered)
+  SELECT entity, field, value, arg_min(source, {_RANK} * 1000000000000 + record_id) AS source FROM g JOIN r USING (entity, field, value) GROUP BY entity, field, value""")
+def provenance(spark, sf):
+    c = _clustered(spark, sf)
+    return golden.field_provenance(c, golden.merge_golden(c), {"phone": "phone_norm", "email": "email_norm", "address": "address"})
+
+
+# ---------------------------------------------------------------- validity
+
+_VALID = """least(100, b + CASE WHEN b < 80 AND record_id % 4 = 0 THEN 20 + CASE WHEN record_id % 8 = 0 THEN 20 ELSE 0 END ELSE 0 END)"""
+
+
+@query("u13_u15_validity", f"""WITH {NORM}, v AS (SELECT *, CASE WHEN trim(phone_norm) <> '' THEN 20 ELSE 0 END + CASE WHEN trim(email_norm) <> '' THEN 15 ELSE 0 END + CASE WHEN trim(key_nit) <> '' THEN 30 ELSE 0 END +
+  CASE source WHEN 'google_maps' THEN 25 WHEN 'paginas_amarillas' THEN 20 WHEN 'foursquare' THEN 15 WHEN 'serper' THEN 15 ELSE 10 END AS b FROM norm)
+  SELECT record_id, CAST({_VALID} AS INT) AS validity, {_VALID} >= 40 AS valid, greatest(score, CAST({_VALID} AS INT)) AS score, CASE WHEN nit IS NULL AND record_id % 8 = 0 THEN '1' ELSE nit END AS nit FROM v""")
+def validity(spark, sf):
+    d = normalized(spark, sf)
+    facts = d.where("record_id % 4 = 0").select("record_id", F.expr("case when record_id % 8 = 0 then '1' end").alias("nit"), F.lit(None).cast("string").alias("phone"))
+    v = quality.validity_score(d, facts)
+    found = v.select("record_id", F.col("validity").alias("score"), "valid", F.expr("case when record_id % 8 = 0 then '1' end").alias("nit"), F.lit(None).cast("string").alias("phone"), F.lit(None).cast("string").alias("email"))
+    return v.select("record_id", "validity", "valid").join(quality.backfill(d, found).select("record_id", "score", "nit"), "record_id")
+
+
+@query("u13_candidates", f"WITH {NORM} SELECT record_id, source FROM norm WHERE source <> 'rues' AND nit IS NULL AND approved ORDER BY source, record_id LIMIT 50")
+def candidates(spark, sf):
+    return quality.validation_candidates(normalized(spark, sf), 50).select("record_id", "source")
+
+
+@query("u16_register_status", """SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN -15 WHEN c_custkey % 5 = 1 THEN -5 WHEN c_custkey % 9 >= 4 THEN -10 WHEN c_custkey % 9 >= 2 THEN -5 ELSE 0 END AS points FROM customer""")
+def register_status(spark, sf):
+    status = F.expr("CASE c_custkey % 5 WHEN 0 THEN 'Cancelada' WHEN 1 THEN '' ELSE 'ACTIVA' END")
+    return read(spark, sf, "customer").select("c_custkey", quality.register_status_points(status, (2024 - F.col("c_custkey") % 9).cast("string"), 2024).alias("points"))
+
+
+# ---------------------------------------------------------------- filters, pages, sets
+
+@query("u8_u10_l1_entity_page", f"""WITH RECURSIVE {ENTITIES} SELECT entity, name, quality FROM entities WHERE NOT (NOT approved AND sources = ['rues']) AND place ILIKE '%municipio 1%' AND list_contains(sources, 'google_maps') AND quality BETWEEN 40 AND 130 AND phone IS NOT NULL ORDER BY quality DESC NULLS LAST, entity LIMIT 20 OFFSET 20""")
+def entity_page(spark, sf):
+    e = quality.drop_inactive_register_only(_entities(spark, sf)).where(reports.entity_filter(place="municipio 1", source="google_maps", low=40, high=130, phone=True))
+    return reports.page(e, "quality", "entity", 20, 1).select("entity", "name", "quality")
+
+
+@query("u9_l2_conflict_listing", f"WITH {CONFLICTS} SELECT record_id, field, severity, n_values FROM conflicts WHERE severity <> 'baja' AND n_values BETWEEN 2 AND 4")
+def conflict_listing(spark, sf):
+    return reports.by_severity(_conflicts(spark, sf).where("severity != 'baja' and n_values between 2 and 4")).select("record_id", "field", "severity", "n_values")
+
+
+@query("l3_top_places", f"WITH {NORM} SELECT place_norm, count(*) AS n FROM norm GROUP BY place_norm ORDER BY n DESC, place_norm LIMIT 5")
+def top_places(spark, sf):
+    return reports.top_places(normalized(spark, sf), "place_norm", 5)
+
+
+@query("l4_top_multi_source", f"WITH RECURSIVE {ENTITIES} SELECT entity, n_sources, quality FROM entities WHERE n_sources > 1 ORDER BY n_sources DESC, quality DESC, entity LIMIT 25")
+def top_multi(spark, sf):
+    return reports.top_multi_source(_entities(spark, sf), 25).select("entity", "n_sources", "quality")
+
+
+@query("l5_latest_runs", "SELECT event_id AS run_id, json_extract_string(props, '$.page') AS scope FROM events ORDER BY ts DESC, event_id DESC LIMIT 20")
+def latest_runs(spark, sf):
+    runs = read(spark, sf, "events").select(F.col("event_id").alias("run_id"), F.col("ts").alias("started"), F.regexp_replace("props", '"page"', '"scope"').alias("config"))
+    return reports.latest_runs(runs, 20).select("run_id", "scope")
+
+
+@query("l6_e1_e2_place_sets", f"""WITH {REC}, g AS (SELECT DISTINCT place FROM rec WHERE source = 'google_maps' AND record_id % 25 < 12), o AS (SELECT DISTINCT place FROM rec WHERE source = 'rues' AND record_id % 25 > 6)
+  SELECT 'union' AS kind, place FROM (SELECT * FROM g UNION SELECT * FROM o) UNION ALL SELECT 'both', place FROM (SELECT * FROM g INTERSECT SELECT * FROM o)""")
+def place_sets(spark, sf):
+    d = listings(spark, sf)
+    g = reports.distinct_places(d.where("source = 'google_maps' and record_id % 25 < 12"), "place")
+    o = reports.distinct_places(d.where("source = 'rues' and record_id % 25 > 6"), "place")
+    return g.union(o).distinct().select(F.lit("union").alias("kind"), "place").unionAll(g.intersect(o).select(F.lit("both"), "place"))
+
+
+# ---------------------------------------------------------------- keyed writes, logs, counters
+
+_ARRIVALS = "arrivals AS (SELECT event_id, CONCAT('k', CAST(user_id AS VARCHAR), event_type) AS hash_id, event_type FROM events)"
+
+
+@query("s7_e3_insert_new", f"WITH {_ARRIVALS} SELECT event_id, hash_id FROM arrivals WHERE hash_id NOT IN (SELECT hash_id FROM arrivals WHERE event_id % 10 = 0) QUALIFY row_number() OVER (PARTITION BY hash_id ORDER BY event_id) = 1")
+def insert_new(spark, sf):
+    d = read(spark, sf, "events").select("event_id", F.concat(F.lit("k"), F.col("user_id").cast("string"), F.col("event_type")).alias("hash_id"))
+    return tables.insert_new(d, d.where("event_id % 10 = 0").select("hash_id").distinct(), ["hash_id"], ["event_id"]).select("event_id", "hash_id")
+
+
+@query("s8_upsert", """WITH old AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0), new_ AS (SELECT o_orderkey, 'X' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders WHERE o_orderkey % 2 = 0)
+  SELECT coalesce(old.o_orderkey, new_.o_orderkey) AS o_orderkey, CASE WHEN old.o_orderkey IS NULL THEN new_.o_orderstatus ELSE old.o_orderstatus END AS o_orderstatus, coalesce(new_.o_totalprice, old.o_totalprice) AS o_totalprice FROM old FULL JOIN new_ ON old.o_orderkey = new_.o_orderkey""")
+def upsert(spark, sf):
+    o = read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    new = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    return tables.upsert(new, o.where("o_orderkey % 3 <> 0"), ["o_orderkey"], ["o_totalprice"])
+
+
+@query("a21_customer_dedup", "SELECT o_custkey AS code, min(o_orderkey) AS seq FROM orders GROUP BY o_custkey")
+def customer_dedup(spark, sf):
+    return contrast.dedup_customers(read(spark, sf, "orders").select(F.col("o_custkey").alias("code"), F.col("o_orderkey").alias("seq")))
+
+
+@query("a23_table_counts", "SELECT 'part' AS name, count(*) AS n FROM part UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'events', count(*) FROM events")
+def table_counts(spark, sf):
+    return reports.table_counts({t: read(spark, sf, t) for t in ("part", "orders", "events")})
+
+
+@query("a24_source_stats", f"WITH {REC} SELECT count(*) AS total, count(*) FILTER (approved) AS approved, count(DISTINCT place) AS places, count(*) FILTER (trim(phone) <> '') AS with_phone, count(*) FILTER (trim(email) <> '') AS with_web FROM rec")
+def source_stats(spark, sf):
+    return reports.source_stats(listings(spark, sf), "place", "phone", "email")
+
+
+@query("a25_run_counters", f"""WITH a AS (SELECT event_type, value, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1 AS inserted FROM events)
+  SELECT event_type, count(*) FILTER (inserted) AS inserted, count(*) FILTER (NOT inserted) AS duplicate, count(*) FILTER (inserted AND value > 50) AS approved FROM a GROUP BY event_type""")
+def run_counters(spark, sf):
+    d = read(spark, sf, "events")
+    first = d.groupBy("user_id", "event_type").agg(F.min("event_id").alias("first"))
+    flags = d.join(first, ["user_id", "event_type"]).select("event_type", (F.col("event_id") == F.col("first")).alias("inserted"), F.coalesce(F.col("value") > 50, F.lit(False)).alias("approved"))
+    return reports.run_counters(flags, "event_type")
+
+
+# ---------------------------------------------------------------- coverage
+
+_COV = f"""{REC}, want AS (SELECT concat('Municipio ', c_custkey % 40) AS place, concat('Zona ', c_nationkey % 3) AS department, c_custkey AS seq FROM customer QUALIFY row_number() OVER (PARTITION BY c_custkey % 40, c_nationkey % 3 ORDER BY c_custkey DESC) = 1),
+  c AS (SELECT lower(trim(place)) AS k, count(*) FILTER (source = 'google_maps') AS google_maps, count(*) FILTER (source = 'foursquare') AS foursquare, count(*) FILTER (source = 'openstreetmap') AS openstreetmap FROM rec GROUP BY 1),
+  cov AS (SELECT place, department, coalesce(google_maps, 0) AS google_maps, coalesce(foursquare, 0) AS foursquare, coalesce(openstreetmap, 0) AS openstreetmap, coalesce(google_maps, 0) + coalesce(foursquare, 0) + coalesce(openstreetmap, 0) AS total FROM want LEFT JOIN c ON lower(trim(place)) = k)"""
+
+
+def _coverage(spark, sf):
+    want = read(spark, sf, "customer").select(F.concat(F.lit("Municipio "), (F.col("c_custkey") % 40).cast("string")).alias("place"), F.concat(F.lit("Zona "), (F.col("c_nationkey") % 3).cast("string")).alias("department"), F.col("c_custkey").alias("seq"))
+    d = listings(spark, sf)
+    return coverage.coverage(want, {s: d.where(F.col("source") == s) for s in ("google_maps", "foursquare", "openstreetmap")})
+
+
+@query("a20_j8_coverage", f"WITH {_COV} SELECT * FROM cov")
+def place_coverage(spark, sf):
+    return _coverage(spark, sf)
+
+
+@query("a20_low_coverage", f"WITH {_COV} SELECT place, department, total, (SELECT count(*) FROM cov) AS places, (SELECT count(*) FROM cov WHERE total >= 5) AS covered FROM cov WHERE total < 5")
+def low_coverage(spark, sf):
+    c = _coverage(spark, sf)
+    return coverage.low_coverage(c).select("place", "department", "total").crossJoin(coverage.coverage_summary(c).select("places", "covered"))
+
+
+@query("j16_big_cities", f"WITH {REC} SELECT record_id, place FROM rec WHERE strip_accents(lower(trim(place))) IN (SELECT concat('municipio ', n_nationkey) FROM nation WHERE n_regionkey = 1)")
+def big_cities(spark, sf):
+    cities = read(spark, sf, "nation").where("n_regionkey = 1").select(F.concat(F.lit("Municipio "), F.col("n_nationkey").cast("string")).alias("city"))
+    return coverage.among(listings(spark, sf), cities).select("record_id", "place")
+
+
+@query("x8_work_list", """SELECT keyword, place, concat(keyword, ' en ', upper(place[1]), lower(place[2:]), ', Colombia') AS query FROM (SELECT DISTINCT lower(c_mktsegment) AS keyword FROM customer), (SELECT DISTINCT lower(n_name) AS place FROM nation WHERE NOT contains(n_name, ' '))
+  WHERE NOT (keyword = 'building' AND place[1] = 'a')""")
+def work_list(spark, sf):
+    kw = read(spark, sf, "customer").select(F.lower("c_mktsegment").alias("keyword")).distinct()
+    pl = read(spark, sf, "nation").where(~F.col("n_name").contains(" ")).select(F.lower("n_name").alias("place"))
+    done = pl.where("place like 'a%'").select(F.concat(F.lit("building en "), F.initcap("place"), F.lit(", Colombia")).alias("query"), F.lit(1).alias("page"))
+    return coverage.work_list(kw, pl, done).select("keyword", "place", "query")
+
+
+# ---------------------------------------------------------------- customers and places by fuzzy match
+
+def _customers(spark, sf):
+    d = listings(spark, sf)
+    return d.where("record_id % 3 = 0").select(F.col("record_id").cast("string").alias("code"), F.regexp_replace("name", "e", "a").alias("account"), "address", "place", F.col("record_id").alias("seq"))
+
+
+@query("j9_j10_a22_contrast")
+def customer_contrast(spark, sf):
+    p = listings(spark, sf).where("record_id % 2 = 0").select(F.col("record_id").alias("prospect_id"), "name", "address", "place")
+    return contrast.best_match(p, _customers(spark, sf))
+
+
+@query("j14_place_resolver")
+def place_resolver(spark, sf):
+    known = read(spark, sf, "nation").select(X.normalize_place(F.col("n_name"), "slug").alias("slug"), F.col("n_regionkey").cast("string").alias("department"))
+    asked = read(spark, sf, "customer").join(read(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    asked = asked.select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 3 == 0, F.regexp_replace("n_name", "I", "Y")).otherwise(F.col("n_name")).alias("place"))
+    return places.resolve_places(asked, known)
+
+
+@query("p1_parse_places")
+def parse_places(spark, sf):
+    n = read(spark, sf, "nation")
+    known = n.select(X.normalize_place(F.col("n_name"), "slug").alias("slug"))
+    texts = read(spark, sf, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("id"), F.concat(F.lit("tiendas en "), F.lower("n_name"), F.lit(", Peru y Kenia; "), F.col("n_name")).alias("text"))
+    return places.parse_places(texts, known)
+
+
+# ---------------------------------------------------------------- points and payloads
+
+_CENTRES = "centres AS (SELECT upper(concat('MUNICIPIO ', n_nationkey)) AS k, 4.0e0 + n_nationkey * 0.1e0 AS clat, -74.0e0 - n_regionkey * 0.5e0 AS clon FROM nation)"
+
+
+def _centres(spark, sf):
+    return read(spark, sf, "nation").select(F.concat(F.lit("Municipio "), F.col("n_nationkey").cast("string")).alias("place"), F.expr("4.0d + n_nationkey * 0.1d").alias("lat"), F.expr("-74.0d - n_regionkey * 0.5d").alias("lon"))
+
+
+_KM = "2 * 6371 * asin(sqrt(least(1.0, pow(sin(radians(clat - lat) / 2), 2) + cos(radians(lat)) * cos(radians(clat)) * pow(sin(radians(clon - lon) / 2), 2))))"
+
+
+@query("g2_g3_snap", f"""WITH {REC}, {_CENTRES}, j AS (SELECT *, coalesce({_KM} > 100, false) AS snapped FROM rec LEFT JOIN centres ON place = k),
+  s AS (SELECT record_id, snapped, CASE WHEN snapped THEN clat ELSE lat END AS slat, CASE WHEN snapped THEN clon ELSE lon END AS slon, lat, lon, clat, clon FROM j)
+  SELECT record_id, snapped, round(slat, 6) AS lat, round(slon, 6) AS lon, round(CASE WHEN lat BETWEEN -4.2 AND 13 AND lon BETWEEN -82 AND -67 THEN lat ELSE clat END, 6) AS fallback_lat FROM s""")
+def snap(spark, sf):
+    d, c = listings(spark, sf), _centres(spark, sf)
+    back = geo.with_fallback(d, c).select("record_id", F.round("lat", 6).alias("fallback_lat"))
+    return geo.snap_to_centres(d, c).select("record_id", "snapped", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon")).join(back, "record_id", "left")
+
+
+@query("g4_geocode_cache", f"""WITH {REC}, c AS (SELECT record_id AS code, lat AS clat FROM rec WHERE record_id % 2 = 0) SELECT record_id, round(clat, 6) AS lat FROM rec LEFT JOIN c ON record_id = code""")
+def geocode_cache(spark, sf):
+    d = listings(spark, sf)
+    cache = d.where("record_id % 2 = 0").select(F.col("record_id").cast("string").alias("key"), "lat", "lon")
+    asked = d.select("record_id", F.col("record_id").cast("string").alias("code"), "address", "place", F.lit("").alias("department"))
+    return geo.from_cache(asked, cache).select("record_id", F.round("lat", 6).alias("lat"))
+
+
+@query("a26_density", f"WITH {REC} SELECT CAST(floor(lat / 0.002) AS BIGINT) AS ci, CAST(floor(lon / 0.002) AS BIGINT) AS cj, count(*) AS n FROM rec WHERE lat BETWEEN -4.2 AND 13 AND lon BETWEEN -82 AND -67 GROUP BY 1, 2")
+def density(spark, sf):
+    return geo.density(listings(spark, sf), 0.002)
+
+
+@query("x1_flatten_search", """SELECT page_id, 'knowledgeGraph' AS result_type, concat('Sitio ', page_id) AS title, url, 0 AS position FROM pages WHERE page_id % 2 = 0
+  UNION ALL SELECT page_id, 'organic', concat('R', page_id), concat(url, '?q=1'), 1 FROM pages UNION ALL SELECT page_id, 'organic', 'otro', url, 2 FROM pages""")
+def flatten_search(spark, sf):
+    organic = F.array(F.struct(F.concat(F.lit("R"), F.col("page_id").cast("string")).alias("title"), F.concat(F.col("url"), F.lit("?q=1")).alias("link"), F.lit(1).alias("position")), F.struct(F.lit("otro").alias("title"), F.col("url").alias("link"), F.lit(2).alias("position")))
+    panel = F.when(F.col("page_id") % 2 == 0, F.struct(F.concat(F.lit("Sitio "), F.col("page_id").cast("string")).alias("title"), F.col("url").alias("website")))
+    d = read(spark, sf, "pages").select("page_id", F.to_json(F.struct(panel.alias("knowledgeGraph"), organic.alias("organic"))).alias("payload"))
+    return flatten.flatten_search(d).select("page_id", "result_type", "title", "url", "position")
+
+
+@query("x5_flatten_osm", f"""WITH {REC} SELECT record_id AS osm_id, name, phone, address, round(lat, 6) AS lat, md5(concat('overpass|node|', record_id)) AS hash_id FROM rec WHERE record_id % 6 <> 1""")
+def flatten_osm(spark, sf):
+    tags = F.create_map(F.lit("brand"), F.col("name"), F.lit("contact:phone"), F.col("phone"), F.lit("addr:full"), F.col("address"), F.lit("shop"), F.when(F.col("record_id") % 6 == 1, "pharmacy").otherwise("hardware"))
+    payload = F.to_json(F.struct(F.lit("node").alias("type"), F.col("record_id").alias("id"), F.struct("lat", "lon").alias("center"), tags.alias("tags")))
+    return flatten.flatten_osm(listings(spark, sf).select(payload.alias("payload"))).select("osm_id", "name", "phone", "address", F.round("lat", 6).alias("lat"), "hash_id")
+
+
+@query("j12_entity_detail", f"""WITH RECURSIVE {GOLDEN}, d AS (SELECT c.*, k.email AS ke FROM clustered c JOIN kept k USING (entity)), e AS (SELECT DISTINCT entity, email_norm, source, email_norm IS NOT DISTINCT FROM ke AS m, CASE source WHEN 'rues' THEN 95 WHEN 'serper' THEN 85 WHEN 'paginas_amarillas' THEN 80 ELSE 70 END AS c FROM d WHERE email_norm IS NOT NULL)
+  SELECT k.entity, k.name, coalesce(list_transform(list_sort(list({{'m': m, 'c': c, 'v': email_norm, 's': source}}) FILTER (email_norm IS NOT NULL), 'DESC'), lambda x: concat(x.v, '/', x.s)), []) AS emails FROM kept k LEFT JOIN e ON e.entity = k.entity GROUP BY k.entity, k.name""")
+def entity_detail(spark, sf):
+    c, e = _clustered(spark, sf), _entities(spark, sf)
+    t = golden.contact_tables(c, e)
+    d = reports.entity_detail(e.select("entity", "name"), {"emails": t["emails"]})
+    return d.select("entity", "name", F.coalesce(F.transform("emails", lambda x: F.concat(x["email"], F.lit("/"), x["source"])), F.array().cast("array<string>")).alias("emails"))
+
+
+@query("j13_entity_history", f"WITH RECURSIVE {CLUSTERS} SELECT entity, record_id, source, name, score FROM clustered")
+def entity_history(spark, sf):
+    c = _clustered(spark, sf)
+    return reports.entity_history(c.select("entity", "record_id", "source"), c, ["name", "score"])
+
+
+@query("u11_u12_prospects", f"""WITH {REC} SELECT record_id, score FROM rec WHERE place IN (SELECT concat('MUNICIPIO ', n_nationkey) FROM nation WHERE n_regionkey = 2) AND score BETWEEN 20 AND 80 AND approved""")
+def prospects(spark, sf):
+    pairs = read(spark, sf, "nation").where("n_regionkey = 2").select(F.concat(F.lit("municipio "), F.col("n_nationkey").cast("string")).alias("place"), F.lit("").alias("department"))
+    d = contrast.prospects_in(listings(spark, sf).withColumn("department", F.lit(None).cast("string")), pairs).withColumns({"quality": F.col("score"), "category": F.lit("new")})
+    return contrast.dashboard_rows(d, 20, 80, True).select("record_id", "score")
+
+
+@query("a27_run_report")
+def run_report(spark, sf):
+    d = normalized(spark, sf)
+    return reports.run_report(d, matching.all_matches(d), _entities(spark, sf))
