@@ -259,9 +259,9 @@ def trigram_similarity(a: Column, b: Column) -> Column:
 def distance_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle metres, by the arc cosine."""
     cos = F.sin(F.radians(lat1)) * F.sin(F.radians(lat2)) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.cos(F.radians(lon1 - lon2))
-    return F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cos))) * 6371000
+    return F.when(cos.isNotNull(), F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cos))) * 6371000)  # least() passes over nulls
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), F.lit(2)) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), F.lit(2))
-    return 2 * 6371 * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+    return F.when(a.isNotNull(), 2 * 6371 * F.asin(F.sqrt(F.least(F.lit(1.0), a))))

@@ -81,7 +81,7 @@ def flatten_osm(d: DataFrame, payload: str = "payload") -> DataFrame:
 
 def flatten_register(d: DataFrame) -> DataFrame:
     """Register detail: commercial before fiscal contacts, phones in one form, dates parsed."""
-    pick = lambda *c: F.coalesce(*(F.nullif(F.trim(x), F.lit("")) for x in c if x in d.columns))
+    pick = lambda *c: F.coalesce(F.lit(None).cast("string"), *(F.nullif(F.trim(x), F.lit("")) for x in c if x in d.columns))
     dates = [c for c in d.columns if c.startswith("fecha_")]
     return d.withColumns({"name": F.col("razon_social"), "place": pick("mun_comercial", "mun_fiscal"), "address": pick("dir_comercial", "dir_fiscal", "direccion"),
                           "phone": X.phone_e164(pick("tel_com_1", "tel_com_2", "telefono")), "email": pick("email_com", "correo_electronico")} | {c: X.parse_yyyymmdd(F.col(c)) for c in dates})
