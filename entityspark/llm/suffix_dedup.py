@@ -16,8 +16,8 @@ from entityspark.storage import materialize, release
 GRAM = 48
 _BYTE = np.random.default_rng(31).integers(1, 1 << 63, 256, dtype=np.uint64)
 _P = 0xD1342543DE82EF95
-_PIECE, _PLACE = 1 << 22, 23
-SHARD_BYTES = 3 << 20
+_PIECE, _PLACE = 1 << 20, 21
+SHARD_BYTES = 1 << 20
 
 
 def gram_hashes(b: np.ndarray) -> np.ndarray:
@@ -76,7 +76,7 @@ def suffix_array(b: np.ndarray) -> np.ndarray:
     for i in range(7):  # seven bytes, then one for texts that end
         key = (key << np.uint64(8)) | padded[i:i + n]
     key = (key << np.uint64(3)) | np.minimum(n - np.arange(n), 7).astype(np.uint64)
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)
     rank, h = np.empty(n + 1, np.int64), 7
     rank[n] = -1
     ordered = key[sa]
@@ -89,7 +89,7 @@ def suffix_array(b: np.ndarray) -> np.ndarray:
             return sa
         sub = sa[tied]
         pair = rank[sub] * (n + 1) + rank[np.minimum(sub + h, n)] + 1
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair)
         sa[tied] = sub[order]
         pair = pair[order]
         head[tied] = np.concatenate([[True], pair[1:] != pair[:-1]])
