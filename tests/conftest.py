@@ -13,7 +13,7 @@ os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 def spark():
     from pyspark.sql import SparkSession
 
-    s = (SparkSession.builder.master("local[8]").appName("tests").config("spark.sql.shuffle.partitions", "8")
+    s = (SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false").config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC")
          .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-")).getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
