@@ -156,9 +156,9 @@ def repeated_windows(regions: list[bytes], copies: np.ndarray, length: int) -> l
 def window_hashes(region: bytes, length: int) -> np.ndarray:
     """64-bit fingerprints of a region's windows."""
     b = _BYTE[np.frombuffer(region, np.uint8)]
-    power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(b) - 1, _P, np.uint64)]), dtype=np.uint64)
-    total = np.concatenate([[np.uint64(0)], np.cumsum(b * power[::-1], dtype=np.uint64)])
-    return mix((total[length:] - total[:-length]) * power[:len(b) - length + 1])
+    up, down = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(b) - 1, p, np.uint64)]), dtype=np.uint64) for p in (_P, pow(_P, -1, 1 << 64)))
+    total = np.concatenate([[np.uint64(0)], np.cumsum(b * up, dtype=np.uint64)])
+    return mix((total[length:] - total[:-length]) * down[:len(b) - length + 1])
 
 
 def _ranges(flag: np.ndarray) -> list[int]:
