@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityspark.llm.common import arrow_batches, docs_of, mix, shingle_hashes, utf8, word_hashes
+from entityspark.llm.common import arrow_batches, docs_of, hinted, mix, shingle_hashes, utf8, word_hashes
 from entityspark.operators.components import connected_components
 from entityspark.storage import materialize, release
 
@@ -62,9 +62,15 @@ def shingle_sets(docs: DataFrame, k: int, with_set: bool) -> DataFrame:
     return docs.mapInArrow(sets, f"doc_id {kind}, n_shingles long, d1 long, d2 long, {last}")
 
 
+def _of_pairs(d: DataFrame, pairs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of d that a pair names. Most documents are in no pair and stay where they are while the ids fit a broadcast."""
+    ids = pairs.select(F.col("a").alias(key)).unionAll(pairs.select(F.col("b").alias(key))).distinct()
+    return d.join(hinted(materialize(ids)), key, "left_semi")
+
+
 def _likely(pairs: DataFrame, sigs: DataFrame, floor: float) -> DataFrame:
     """Pairs (a, b) whose signatures agree in at least the share floor of places."""
-    s = sigs.select("doc_id", "sig")
+    s = materialize(_of_pairs(sigs.select("doc_id", "sig"), pairs))
     j = pairs.join(s.select(F.col("doc_id").alias("a"), F.col("sig").alias("sa")), "a").join(s.select(F.col("doc_id").alias("b"), F.col("sig").alias("sb")), "b")
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,8 +84,7 @@ def _likely(pairs: DataFrame, sigs: DataFrame, floor: float) -> DataFrame:
 
 def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs whose full sets satisfy 100 * intersection >= percent * union, counted exactly."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = materialize(shingle_sets(docs.join(ids, "doc_id", "left_semi"), k, True).select("doc_id", "shingles"))
+    sets = materialize(shingle_sets(_of_pairs(docs, pairs), k, True).select("doc_id", "shingles").dropDuplicates(["doc_id"]))
     j = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
          .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b"))
 
@@ -110,8 +115,8 @@ def _open_links(open_: DataFrame, docs: DataFrame, k: int, percent: int, block_r
     parts = parts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("common"), F.sum("n").alias("n"), F.sum("s").alias("s"))
     blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows), F.ceil(F.col("s") / block_shingles)).cast("int")
     parts = materialize(parts.select("bucket", "common", blocks.alias("nb")))
-    ids = open_.select(F.col("id").alias("doc_id")).distinct()
-    sets = materialize(shingle_sets(docs.join(ids, "doc_id", "left_semi"), k, True).select(F.col("doc_id").alias("id"), "shingles").dropDuplicates(["id"]))
+    ids = materialize(open_.select(F.col("id").alias("doc_id")).distinct())
+    sets = materialize(shingle_sets(docs.join(hinted(ids), "doc_id", "left_semi"), k, True).select(F.col("doc_id").alias("id"), "shingles").dropDuplicates(["id"]))
     rows = open_.join(parts, "bucket").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     rows = rows.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "component", "common").join(sets, "id")
