@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityspark.llm.common import SPACE, SPACES
+from entityspark.llm.common import SPACE, SPACES, hinted
+from entityspark.storage import materialize
 
 SYMBOLS = "#*$%&|<>"
 
@@ -61,7 +62,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame:
         feats = d.withColumn("word_ids", F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)))
         return feats.select(F.explode(features("word_ids", buckets)).alias("bucket")).groupBy("bucket").agg(F.count("*").alias(name))
 
-    raw, target = counted(docs, "raw"), counted(docs.join(trusted, "doc_id", "left_semi"), "target")
+    raw, target = counted(docs, "raw"), counted(docs.join(hinted(materialize(trusted)), "doc_id", "left_semi"), "target")
     both = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(raw, "bucket", "left").join(target, "bucket", "left").na.fill(0)
     arrays = both.agg(F.sort_array(F.collect_list(F.struct("bucket", "raw", "target"))).alias("c"), F.sum("raw").alias("n_raw"), F.sum("target").alias("n_target"))
     ratio = F.transform("c", lambda x: F.log((x["target"] + 1) / (F.col("n_target") + buckets)) - F.log((x["raw"] + 1) / (F.col("n_raw") + buckets)))
