@@ -146,7 +146,8 @@ def repeated_windows(regions: list[bytes], copies: np.ndarray, length: int) -> l
     mine = np.flatnonzero(valid[sa])
     flag = np.zeros(len(b), bool)
     if len(mine):
-        between = np.minimum.reduceat(lcp, np.append(mine[:-1] + 1, len(lcp) - 1))[:-1] if len(mine) > 1 else np.zeros(0, np.int64)
+        # ends behind the last valid suffix: those that sort after it belong to no window
+        between = np.minimum.reduceat(lcp[:mine[-1] + 1], mine[:-1] + 1) if len(mine) > 1 else np.zeros(0, np.int64)
         group = np.cumsum(np.concatenate([[0], between < length]))
         total = np.bincount(group, copies[region[sa[mine]]])
         flag[sa[mine]] = total[group] > 1

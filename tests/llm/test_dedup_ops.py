@@ -129,6 +129,20 @@ def test_repeats_equal_brute_force(spark, monkeypatch, shard):
     assert S.remove_repeats(d.limit(0)).count() == 0
 
 
+def test_greatest_window_of_a_shard_repeats(spark):
+    """An exact repeat of the length that sorts last, with suffixes behind it that run past their region."""
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = "y" + noise(199) + "z" + noise(199)
+    texts = [noise(300) + passage, noise(500) + passage, noise(900)]
+    flags = S.repeated_windows([t.encode() for t in texts], np.ones(3, np.int64), 400)
+    assert [np.flatnonzero(f).tolist() for f in flags] == [[300], [500], []]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in S.remove_repeats(d).collect()}
+    for i, want in enumerate(brute_spans([t.encode() for t in texts], 400)):
+        assert [(s["from"], s["to"]) for s in got[i].spans or []] == want, i
+
+
 def test_vectors_equal_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(8)
     centres = rng.normal(size=(6, 16))
