@@ -1,4 +1,4 @@
-"""SentencePiece encoding and decoding: a max-plus scan over chunks of giant documents."""
+"""SentencePiece encoding and decoding: merges per unit, or a max-plus scan over chunks of giant documents."""
 
 from __future__ import annotations
 
@@ -40,6 +40,7 @@ class Pieces:
         self.byte_ids = {int(self.names[i][3:5], 16): i for i in ids if sp.is_byte(i)}
         self.bytes_of = {i: b for b, i in self.byte_ids.items()}
         self.control = {i for i in ids if sp.is_control(i)}
+        self.raw = [bytes([self.bytes_of[i]]) if i in self.bytes_of else b"" if i in self.control else self.names[i].replace(MARK, " ").encode() for i in ids]
         self.weight = {self.names[i]: (self._weigh(max(worst, sp.get_score(i))), i) for i in plain}
         self.lowest = self._weigh(worst - _UNKNOWN)
         self.longest = max(len(self.names[i]) for i in plain)
@@ -162,11 +163,62 @@ class Pieces:
         return self.best(text, 0, len(text), len(text), 0)[1]
 
     def decode(self, ids: np.ndarray, first: bool) -> str:
-        out = b"".join(bytes([self.bytes_of[i]]) if i in self.bytes_of else b"" if i in self.control else self.names[i].replace(MARK, " ").encode() for i in ids.tolist())
+        out = b"".join(map(self.raw.__getitem__, ids.tolist()))
         text = out.decode("utf-8", "replace")
         return text[1:] if first and text.startswith(" ") else text
 
 
+class Merges:
+    """Ids of a merge model as the library gives them. If no piece holds a mark behind another character, no merge
+    crosses the start of a unit, so units are encoded by the library once, many in one call, and looked up after that;
+    else texts are encoded whole. The cache is bounded."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        names = [self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size())]
+        # units as the library would see them alone: neither rewritten nor without the mark in front
+        plain = self.sp.encode("  a  \u00bd", out_type=str) == self.sp.encode(f"{MARK * 2}a{MARK * 2}\u00bd", out_type=str) and self.sp.decode(self.sp.encode("  a  \u00bd")) == "  a  \u00bd"
+        self.parted = plain and MARK in names and not any(MARK in n.lstrip(MARK) for n in names)
+        self.unit = re.compile(f"{MARK}+[^{MARK}]*")
+        self.start = re.compile(f"(?<![ {MARK}])[ {MARK}]")
+        self.cache = {MARK: np.array([names.index(MARK)], "<u4").tobytes()} if self.parted else {}
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(ids, "<u4").tobytes() for ids in self.sp.encode(texts, num_threads=1)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts whose spaces are marks, one in front."""
+        if not self.parted:
+            return self._library([t[1:] for t in texts])
+        units = [self.unit.findall(t) for t in texts]
+        if len(self.cache) > _CACHE:
+            self.cache = {MARK: self.cache[MARK]}
+        new = [u for u in set().union(*units) if u not in self.cache]
+        fresh = dict(zip(new, self._library([u[1:] for u in new])))  # the library puts the first mark back
+        self.cache |= {u: i for u, i in fresh.items() if len(u) <= 64}
+        return [b"".join([fresh[u] if u in fresh else self.cache[u] for u in found]) for found in units]
+
+    def chunks(self, text: str, size: int) -> list[str]:
+        """A text in parts of about so many characters that start where a unit does; a longer unit is one part."""
+        if not self.parted:
+            return [text]
+        starts, at = [0], size
+        while (found := self.start.search(text, max(at, 1))):
+            starts.append(found.start())
+            at = found.start() + size
+        return [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
+
+
+def is_merge_model(path: str) -> bool:
+    from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(SentencePieceProcessor(model_file=path).serialized_model_proto())
+    return proto.trainer_spec.model_type == sentencepiece_model_pb2.TrainerSpec.BPE
+
+
 def combine(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Max-plus product: the transfer matrix of two neighbouring chunks."""
     out = np.maximum((left[:, :, None] + right[None]).max(1), NONE)
@@ -193,10 +245,12 @@ def boundary_states(matrices: np.ndarray) -> list[int]:
 
 
 def encode_pieces(docs: DataFrame, model: str, chunk_chars: int = 16384, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, row_id, chunk, first, text, ids: the encoding of every row, by the best path over the model's pieces.
+    """doc_id, row_id, chunk, text, ids: the encoding of every row, by the merges of a merge model, else by the best path
+    over the model's pieces.
 
     Spaces become marks and one mark is put in front, as the library does. Texts up to chunk_chars are one chunk and
-    encoded where they are read. Longer ones are cut into chunks at any place; each chunk yields its transfer matrix
+    encoded where they are read. With a merge model longer ones are cut where a unit starts, which no merge crosses, and
+    their chunks are dealt out; the ids are the library's. With other models longer ones are cut into chunks at any place; each chunk yields its transfer matrix
     between boundary states on its own, the small matrices of a document are combined associatively, and each chunk is
     traced back on its own between the states found. ids: unsigned 32-bit little-endian; text: what they stand for.
 
@@ -205,7 +259,8 @@ def encode_pieces(docs: DataFrame, model: str, chunk_chars: int = 16384, id_col:
     arrow_batches(docs.sparkSession)
     d = docs_of(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
     kind = d.schema["doc_id"].dataType.simpleString()
-    longest = Pieces(model).longest
+    merged = is_merge_model(model)
+    longest = 0 if merged else Pieces(model).longest
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int]]:
         row = TaskContext.get().partitionId() << 40
@@ -222,6 +277,35 @@ def encode_pieces(docs: DataFrame, model: str, chunk_chars: int = 16384, id_col:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(range(row, row + n), pa.int64()), pa.array([0] * n, pa.int32()), batch.column(1), pa.array(ids, pa.binary())],
                                              ["doc_id", "row_id", "chunk", "text", "ids"])
 
+    def merge(texts: list[str], first: list[bool], m: Merges) -> list[bytes]:
+        """Ids of chunks: the first of a text gets a mark in front, the others start with one."""
+        out: list[bytes] = []
+        for at in range(0, len(texts), 512):
+            out += m.encode([(MARK if f else "") + t.replace(" ", MARK) if t else "" for t, f in zip(texts[at:at + 512], first[at:at + 512])])
+        return out
+
+    def short_merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Merges(model)
+        for batch, row in rows(batches):
+            n = len(batch)
+            ids = merge(batch.column(1).to_pylist(), [True] * n, m)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(range(row, row + n), pa.int64()), pa.array([0] * n, pa.int32()), batch.column(1), pa.array(ids, pa.binary())],
+                                             ["doc_id", "row_id", "chunk", "text", "ids"])
+
+    def cut_merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Merges(model)
+        for batch, row in rows(batches):
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                parts = m.chunks(text, chunk_chars)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i] * len(parts))), pa.array([-1 - row - i] * len(parts), pa.int64()), pa.array(range(len(parts)), pa.int32()),
+                                                  pa.array(parts, pa.string())], ["doc_id", "row_id", "chunk", "text"])
+
+    def long_merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Merges(model)
+        for batch in batches:
+            ids = merge(batch.column("text").to_pylist(), [c == 0 for c in batch.column("chunk").to_pylist()], m)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], [*batch.schema.names, "ids"])
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Pieces(model)
         k = p.longest
@@ -260,6 +344,10 @@ def encode_pieces(docs: DataFrame, model: str, chunk_chars: int = 16384, id_col:
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in ("doc_id", "row_id", "chunk")] + [pa.array(covered, pa.string()), pa.array(ids, pa.binary())], ["doc_id", "row_id", "chunk", "text", "ids"])
 
     schema = f"doc_id {kind}, row_id long, chunk int, text string, ids binary"
+    if merged:
+        one = d.where(F.length("text") <= chunk_chars).mapInArrow(short_merged, schema)
+        cut = d.where(F.length("text") > chunk_chars).mapInArrow(cut_merged, f"doc_id {kind}, row_id long, chunk int, text string")
+        return one.unionAll(materialize(cut.repartition("row_id", "chunk")).mapInArrow(long_merged, schema))
     one = d.where(F.length("text") <= chunk_chars).mapInArrow(short, schema)
     chunks = d.where(F.length("text") > chunk_chars).mapInArrow(split, f"doc_id {kind}, row_id long, chunk int, text string, after string, since int")
     chunks = materialize(chunks.repartition("row_id", "chunk"))

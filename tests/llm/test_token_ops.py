@@ -155,6 +155,24 @@ def test_encode_decode_rows(spark, docs):
     assert sorted(texts.values()) == sorted((r.text or "") for r in d.collect())
 
 
+def test_piece_ids_are_the_librarys(spark, docs):
+    import sentencepiece
+
+    path = P.path("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    more = ["giant text of  words " * 200 + "y" * 900 + " \u0e01end  ", "a ▁ b▁c ▁", "   ", " internationalization of tokenizers\nand  such "]
+    d = docs.unionByName(spark.createDataFrame([(200 + i, t, "x") for i, t in enumerate(more)], docs.schema))
+    out = SP.encode_pieces(d, path, chunk_chars=256).collect()
+    texts, ids, parts = {}, {}, 0
+    for r in sorted(out, key=lambda r: (r.row_id, r.chunk)):
+        texts[r.row_id] = texts.get(r.row_id, "") + r.text
+        ids[r.row_id] = ids.get(r.row_id, b"") + bytes(r.ids)
+        parts = max(parts, r.chunk)
+    assert parts > 5 and sorted(texts.values()) == sorted((r.text or "") for r in d.collect())
+    for row, text in texts.items():
+        assert np.frombuffer(ids[row], "<u4").tolist() == sp.encode(text), text[:50]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet="\\<l|im_start>end\nn ab"))
 def test_escape_round_trip(text):
