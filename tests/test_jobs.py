@@ -64,6 +64,30 @@ def test_star_and_all_pairs_cluster_alike_in_any_order(spark, resolved):
     assert key(resolved) == key(other)
 
 
+def test_contrast_equals_all_pairs(spark, sf, monkeypatch):
+    """Every listing gets a row; repeated names, orders of tokens and sliced places change no best customer."""
+    from entityspark import queries as Q
+    from entityspark.functions.ratios import partial, token_sort
+
+    ids = [r.record_id for r in Q.listings(spark, sf).select("record_id").collect()]
+    assert sorted(r.prospect_id for r in Q.QUERIES["j9_j10_a22_contrast"](spark, sf).select("prospect_id").collect()) == sorted(ids)
+    monkeypatch.setattr(contrast, "SLICE", 7)
+    rng = random.Random(5)
+    words = ["FERRO", "FERRE", "CASA", "CASAS", "NORTE", "DEPOSITO", "DEPOSITOS", "TORNILLO"]
+    name = lambda: " ".join(rng.choice(words) for _ in range(rng.randint(1, 4)))
+    p = [(i, name(), f"CALLE {rng.randint(1, 30)}", rng.choice(["CALI", "CALI", "PASTO"])) for i in range(80)] + [(900, None, "X", "CALI"), (901, "CASA", None, "NOWHERE")]
+    c = [(f"c{i}", name(), f"CALLE {rng.randint(1, 30)}", rng.choice(["CALI", "CALI", "PASTO"]), i) for i in range(60)]
+    got = {r.prospect_id: (r.code, r.score, r.category) for r in contrast.best_match(spark.createDataFrame(p, "prospect_id long, name string, address string, place string"), spark.createDataFrame(c, "code string, account string, address string, place string, seq long")).collect()}
+    assert len(got) == len(p)
+    for i, n, a, k in p:
+        best = max(((token_sort(n, m), -q, code, b) for code, m, b, l, q in c if n and l == k), default=(0,))
+        if best[0] < 70:
+            assert got[i] == (None, None, "new")
+        else:
+            category = "confirmed" if best[0] >= 85 else "probable" if partial(a, best[3]) >= 60 else "new"
+            assert got[i] == (best[2] if category != "new" else None, best[0], category), i
+
+
 def test_components_equal_union_find(spark):
     rng = random.Random(2)
     for n, m in ((30, 20), (200, 150), (60, 300)):
