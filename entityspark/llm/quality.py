@@ -30,14 +30,17 @@ def features(ids: str, buckets: int) -> Column:
 def repeated_words(d: DataFrame, ids: str = "word_ids") -> DataFrame:
     """Adds n_repeat_words: words that lie in a three-word window found twice or more in the text.
 
-    Window hash and place share one integer, as many low bits as the places need, so sorting plain integers brings
-    equal windows together; the covered words are then summed over the places in order.
+    Part of a window's hash and its place share one integer, as many low bits as the places need, so sorting plain
+    integers brings equal windows together. In long texts few bits of hash remain, so the places that this leaves are
+    sorted again by their words' ids, which decide; the covered words are then summed over the places in order.
     """
     d = d.withColumn("b", F.expr(f"length(bin(size({ids})))"))
     d = d.withColumn("w", F.expr(f"""sort_array(transform(if(size({ids}) > 2, sequence(0, size({ids}) - 3), array()),
         i -> shiftleft(xxhash64({ids}[i], {ids}[i + 1], {ids}[i + 2]), b) | cast(i as bigint)))"""))
-    d = d.withColumn("w", F.expr("""sort_array(transform(filter(w, (x, j) -> coalesce(shiftright(get(w, j - 1), b) = shiftright(x, b), false)
-        or coalesce(shiftright(get(w, j + 1), b) = shiftright(x, b), false)), x -> x & (shiftleft(1L, b) - 1)))"""))
+    d = d.withColumn("w", F.expr("""transform(filter(w, (x, j) -> coalesce(shiftright(get(w, j - 1), b) = shiftright(x, b), false)
+        or coalesce(shiftright(get(w, j + 1), b) = shiftright(x, b), false)), x -> cast(x & (shiftleft(1L, b) - 1) as int))"""))
+    d = d.withColumn("w", F.expr(f"sort_array(transform(w, i -> named_struct('ids', named_struct('a', {ids}[i], 'b', {ids}[i + 1], 'c', {ids}[i + 2]), 'i', cast(i as bigint))))"))
+    d = d.withColumn("w", F.expr("sort_array(transform(filter(w, (x, j) -> coalesce(get(w, j - 1).ids = x.ids, false) or coalesce(get(w, j + 1).ids = x.ids, false)), x -> x.i))"))
     total = """aggregate(w, named_struct('n', 0L, 'last', 0L),
         (a, x) -> named_struct('n', a.n + 3L - greatest(0L, a.last - x), 'last', x + 3L), a -> a.n)"""
     return d.withColumn("n_repeat_words", F.expr(total)).drop("b", "w")

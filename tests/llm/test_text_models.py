@@ -119,3 +119,11 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r.doc_id for r in out} >= {1, 2, 3, 100}
     for name, f in C.STAGES[:-1]:
         assert f(spark, d.limit(0), "").columns == d.columns
+
+
+def test_repeated_words_of_very_long_texts(spark):
+    """Millions of distinct windows leave few bits of hash beside the place; none may count as repeated but the real one."""
+    from entityspark.llm.quality import repeated_words
+
+    d = spark.range(1).select(F.expr("concat(sequence(1L, 3000000L + id), array(5L, 6L, 7L))").alias("word_ids"))
+    assert repeated_words(d).select("n_repeat_words").first()[0] == 6
