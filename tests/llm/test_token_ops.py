@@ -2,7 +2,7 @@
 
 import hashlib
 import random
-import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -48,7 +48,7 @@ def test_character_classes_agree_with_library():
             assert "".join(find(text)) == text
             assert sum(len(tok.encode(p, add_special_tokens=False).ids) for p in find(text)) == len(tok.encode(text, add_special_tokens=False).ids), hex(i)
         if not packing._OTHER.search(text):
-            assert enc.encode([text])[0] == np.array(enc.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), hex(i)
+            assert enc.encode(text) == np.array(enc.tok.encode(text, add_special_tokens=False).ids, enc.dtype).tobytes(), hex(i)
 
 
 def check_packing(rows, want, window):
@@ -69,8 +69,8 @@ def check_packing(rows, want, window):
 
 def test_packing_holds_every_id_once(spark, docs):
     tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    for window, shard in ((64, 4), (2048, 2048)):
-        rows = packing.pack_documents(docs, P.path("word_bpe_49k.json"), window=window, shard_docs=shard).collect()
+    for window, index in ((64, 300), (2048, 1 << 18)):
+        rows = packing.pack_documents(docs, P.path("word_bpe_49k.json"), window=window, task_tokens=4 * index, index_tokens=index).collect()
         want = [(r.doc_id, np.array([*tok.encode(r.text or "", add_special_tokens=False).ids, 1], "<u4").tobytes()) for r in docs.collect()]
         check_packing(rows, want, window)
     assert packing.pack_documents(docs.limit(0), P.path("word_bpe_49k.json")).count() == 0
@@ -78,30 +78,48 @@ def test_packing_holds_every_id_once(spark, docs):
 
 def test_neighbours_are_bm25_best():
     rng = np.random.default_rng(5)
-    items = [rng.integers(0, 60, rng.integers(1, 40)).astype(np.uint32) for _ in range(50)]
-    index = packing.Index(items, 1000)
-    n, avg = len(items), np.mean([len(x) for x in items])
-    df = {t: sum(t in x for x in items) for t in range(60)}
+    items = [rng.integers(0, 60, rng.integers(1, 40)).astype("<u2") for _ in range(50)]
+    n, avg = len(items) + 7, np.mean([len(x) for x in items]) + 1  # statistics of a larger corpus
+    df = np.array([sum(t in x for x in items) + t % 3 for t in range(60)], float)
+    index = packing.Index([x.tobytes() for x in items], "<u2", packing.Statistics(n, avg * n, df))
 
     def score(q, d):
         total = 0.0
         for t in set(items[q].tolist()):
-            if df[t] > 1 and (tf := int((items[d] == t).sum())):
-                total += np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(items[d]) / avg))
+            if tf := int((items[d] == t).sum()):
+                total += max(0, np.log((n - df[t] + 0.5) / (df[t] + 0.5))) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(items[d]) / avg))
         return total
 
     for q in range(10):
-        unused = np.ones(n, bool)
+        unused = np.ones(n - 7, bool)
         unused[[q, 3, 7]] = False
-        want = sorted((d for d in range(n) if unused[d] and score(q, d) > 0), key=lambda d: (-round(score(q, d), 9), d))
+        want = sorted((d for d in range(n - 7) if unused[d] and score(q, d) > 0), key=lambda d: (-round(score(q, d), 4), d))
         assert index.neighbours(q, unused).tolist()[:5] == want[:5]
 
 
+def test_statistics_and_keys_cover_all_pieces(spark):
+    """Copies dealt over many partitions come to stand side by side."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"{chr(97 + a)}{chr(97 + b)}x" for a, b in rng.integers(0, 26, (30, 2))) for _ in range(60)]
+    d = spark.createDataFrame([(i, texts[i % 60]) for i in range(120)], "doc_id long, text string").repartition(7)
+    enc = packing.word_encoder(P.path("word_bpe_49k.json"))
+    cut = packing.token_pieces(d, P.path("word_bpe_49k.json"), 2048, 1)
+    stats = packing.statistics(cut, enc.dtype, enc.tok.get_vocab_size())
+    sets = [set(np.frombuffer(enc.encode(texts[i % 60]), enc.dtype).tolist()) | {1} for i in range(120)]
+    want = Counter(t for s in sets for t in s)
+    assert stats.n == 120 and {int(t): int(stats.df[t]) for t in np.flatnonzero(stats.df)} == dict(want)
+    rows = packing.pack_documents(d, P.path("word_bpe_49k.json"), window=256, task_tokens=2000, index_tokens=1000).collect()
+    seqs = {}
+    for r in rows:
+        seqs.setdefault(r.doc_id % 60, []).append(r.sequence_id)
+    assert sum(len(set(s)) < len(s) for s in seqs.values()) > 40
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 63), min_size=1, max_size=40))
 def test_pack_shard_never_pads(sizes):
-    terms = [np.arange(n, dtype=np.uint32) for n in sizes]
-    plan = packing.pack_shard(sizes, terms, 64)
+    stats = packing.Statistics(2 * len(sizes), sum(sizes), np.ones(64))
+    plan = packing.pack_shard(sizes, packing.Index([np.arange(n, dtype="<u2").tobytes() for n in sizes], "<u2", stats), 64)
     total = {}
     for item, a, n, seq, off in plan:
         total[seq] = total.get(seq, 0) + n
