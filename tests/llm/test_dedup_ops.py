@@ -64,7 +64,7 @@ def test_minhash_open_buckets_and_blocks(spark, texts, monkeypatch):
     """Small blocks: members that the star leaves apart still meet all others."""
     real = M._open_links
     seen = []
-    monkeypatch.setattr(M, "_open_links", lambda o, d, k, p: seen.append(o.count()) or real(o, d, k, p, block_rows=7))
+    monkeypatch.setattr(M, "_open_links", lambda o, r, d, k, p: seen.append(o.count()) or real(o, r, d, k, p, block_rows=7))
     test_minhash_equals_brute_force(spark, texts)
     assert max(seen) > 50
 
@@ -76,6 +76,14 @@ def test_minhash_repeats_nulls_empty(spark):
     assert M.minhash_components(d.limit(0)).count() == 0
 
 
+def test_minhash_repeated_ids_with_other_texts(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(5, a), (5, b), (7, a + " more"), (8, b + " more"), (4, b), (9, "alone in the world"), (None, a)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in M.minhash_components(d, 3, 85).collect()), key=str)
+    assert got == sorted([(5, 5, True), (7, 5, False), (None, 5, False), (5, 4, False), (8, 4, False), (4, 4, True), (9, 9, True)], key=str)
+
+
 def test_suffix_array_and_prefixes():
     rng = np.random.default_rng(1)
     for n, letters in ((1, 2), (50, 2), (2000, 2), (3000, 4)):
@@ -163,7 +171,7 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
 def py_norm(line):
     import regex
 
-    return regex.sub(r"\p{N}+", "0", regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower())).strip(" ")
+    return regex.sub("[0-9]+", "0", regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower())).strip(" ")
 
 
 def py_simhash(norm):
@@ -193,6 +201,14 @@ def py_halves(norm):
     return [h if k and len("".join(h)) >= 16 else None for h in (w[:k], w[-k:] if k else [])]
 
 
+def line_link(a, b):
+    """Whether two normal forms are linked."""
+    bits = (py_simhash(a) ^ py_simhash(b)).bit_count()
+    same = any(x is not None and x == y for x, y in zip(py_halves(a), py_halves(b)))
+    most = int(max(len(a), len(b)) * 0.2 + 1e-9)
+    return (bits <= 3 or bits <= 14 and same) and abs(len(a) - len(b)) <= most and edit(a, b) <= most
+
+
 def test_lines_equal_brute_force(spark):
     rng = random.Random(6)
     words = ["alpha", "beta", "gamma", "delta", "echo", "fox"] + [f"{a}{b}q" for a in "bcdfgh" for b in ("ar", "el", "im", "on", "ut", "yrk", "osa", "ilt", "emp", "und")]
@@ -203,7 +219,8 @@ def test_lines_equal_brute_force(spark):
         for _ in range(rng.randint(0, 2)):
             t[rng.randrange(24)] = rng.choice(words)
         lines.append(" ".join(t))
-        lines += [f"{' '.join(rng.choice(words) for _ in range(n))}{e}" for n in (3, 9, 17) for e in ("", " … end", "?!", " 12 7")]
+        lines += [" ".join(f"{a}{b}" for a in "abcdefghijkl" for b in "qrstuvwxyzäö"[:12]) + end for end in ("", " more", " or less")]  # 144 words
+    lines += [f"{' '.join(rng.choice(words) for _ in range(n))}{e}" for n in (3, 9, 17) for e in ("", " … end", "?!", " 12 7")]
     docs = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randint(1, 6))), "c") for i in range(40)] + [(90, None, "c"), (91, "", "c"), (92, "x\nx\n", "c"), (93, "\n".join(["z", *lines, "z"] * 3), "c")]
     d = spark.createDataFrame(docs, "doc_id long, text string, line string").repartition(3)
     places = sorted((i, n, py_norm(x)) for i, t, _ in docs for n, x in enumerate((t or "").split("\n")) if py_norm(x))
