@@ -6,8 +6,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from entityspark.llm.common import arrow_batches, docs_of, hinted, mix, shingle_hashes, utf8, word_hashes
 from entityspark.operators.components import connected_components
@@ -35,10 +36,10 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 def shingle_sets(docs: DataFrame, k: int, with_set: bool) -> DataFrame:
     """doc_id, n_shingles, d1, d2 (a 128-bit digest of the set), and either the sorted set itself (bytes of 64-bit
-    hashes) or sig and bands."""
+    hashes) or sig, bands and text_id, as docs has it."""
     arrow_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    last = "shingles binary" if with_set else "sig binary, bands array<bigint>"
+    last = "shingles binary" if with_set else "sig binary, bands array<bigint>, text_id bigint"
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -57,21 +58,30 @@ def shingle_sets(docs: DataFrame, k: int, with_set: bool) -> DataFrame:
                     b.append(band_keys(sig).tolist() if len(s) else [])
             cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(a, pa.binary())]
             names = ["doc_id", "n_shingles", "d1", "d2", "shingles" if with_set else "sig"]
-            yield pa.RecordBatch.from_arrays(cols + ([] if with_set else [pa.array(b, pa.list_(pa.int64()))]), names + ([] if with_set else ["bands"]))
+            yield pa.RecordBatch.from_arrays(cols + ([] if with_set else [pa.array(b, pa.list_(pa.int64())), batch.column(2)]), names + ([] if with_set else ["bands", "text_id"]))
 
     return docs.mapInArrow(sets, f"doc_id {kind}, n_shingles long, d1 long, d2 long, {last}")
 
 
-def _of_pairs(d: DataFrame, pairs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of d that a pair names. Most documents are in no pair and stay where they are while the ids fit a broadcast."""
-    ids = pairs.select(F.col("a").alias(key)).unionAll(pairs.select(F.col("b").alias(key))).distinct()
-    return d.join(hinted(materialize(ids)), key, "left_semi")
+def _of_pairs(reps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of reps that a pair names. Most documents are in no pair and stay where they are while the ids fit a broadcast."""
+    ids = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
+    return reps.join(hinted(materialize(ids)), "node", "left_semi")
 
 
-def _likely(pairs: DataFrame, sigs: DataFrame, floor: float) -> DataFrame:
+def _sets_of(wanted: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """node and shingles of the wanted representatives, whose texts are read again. A doc_id may have several texts,
+    so a set is known by its digest too."""
+    some = docs.join(hinted(materialize(wanted.select("doc_id").distinct())), "doc_id", "left_semi")
+    by = ["doc_id", "n_shingles", "d1", "d2"]
+    sets = shingle_sets(some, k, True).dropDuplicates(by).join(hinted(wanted.select("node", *by)), by)
+    return materialize(sets.select("node", "shingles"))
+
+
+def _likely(pairs: DataFrame, reps: DataFrame, floor: float) -> DataFrame:
     """Pairs (a, b) whose signatures agree in at least the share floor of places."""
-    s = materialize(_of_pairs(sigs.select("doc_id", "sig"), pairs))
-    j = pairs.join(s.select(F.col("doc_id").alias("a"), F.col("sig").alias("sa")), "a").join(s.select(F.col("doc_id").alias("b"), F.col("sig").alias("sb")), "b")
+    s = materialize(_of_pairs(reps, pairs).select("node", "sig"))
+    j = pairs.join(s.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a").join(s.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,14 +89,16 @@ def _likely(pairs: DataFrame, sigs: DataFrame, floor: float) -> DataFrame:
                 x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(len(batch), -1) for c in ("sa", "sb"))
                 yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(1) >= floor))
 
-    return j.select("a", "b", "sa", "sb").mapInArrow(agree, pairs.schema)
+    out = materialize(j.select("a", "b", "sa", "sb").mapInArrow(agree, pairs.schema))
+    release(s)
+    return out
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs whose full sets satisfy 100 * intersection >= percent * union, counted exactly."""
-    sets = materialize(shingle_sets(_of_pairs(docs, pairs), k, True).select("doc_id", "shingles").dropDuplicates(["doc_id"]))
-    j = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
-         .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b"))
+    sets = _sets_of(materialize(_of_pairs(reps, pairs).select("node", "doc_id", "n_shingles", "d1", "d2")), docs, k)
+    j = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+         .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,7 +116,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
     return out
 
 
-def _open_links(open_: DataFrame, docs: DataFrame, k: int, percent: int, block_rows: int = 1024, block_shingles: int = 1 << 21) -> DataFrame:
+def _open_links(open_: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int, block_rows: int = 1024, block_shingles: int = 1 << 21) -> DataFrame:
     """Links between members of a bucket that carry different components: (a, b), enough of them to join what is linked.
 
     open_: bucket, id, component, n_shingles. A bucket is dealt to blocks of bounded rows and bytes, every pair of
@@ -115,8 +127,9 @@ def _open_links(open_: DataFrame, docs: DataFrame, k: int, percent: int, block_r
     parts = parts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("common"), F.sum("n").alias("n"), F.sum("s").alias("s"))
     blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows), F.ceil(F.col("s") / block_shingles)).cast("int")
     parts = materialize(parts.select("bucket", "common", blocks.alias("nb")))
-    ids = materialize(open_.select(F.col("id").alias("doc_id")).distinct())
-    sets = materialize(shingle_sets(docs.join(hinted(ids), "doc_id", "left_semi"), k, True).select(F.col("doc_id").alias("id"), "shingles").dropDuplicates(["id"]))
+    ids = materialize(open_.select(F.col("id").alias("node")).distinct())
+    wanted = materialize(reps.join(hinted(ids), "node", "left_semi").select("node", "doc_id", "n_shingles", "d1", "d2"))
+    sets = _sets_of(wanted, docs, k).withColumnRenamed("node", "id")
     rows = open_.join(parts, "bucket").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     rows = rows.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "component", "common").join(sets, "id")
@@ -163,40 +176,50 @@ def _open_links(open_: DataFrame, docs: DataFrame, k: int, percent: int, block_r
 
 
 def minhash_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row: documents linked where 100 * intersection >= percent *
+    """doc_id, n_shingles, component_id, kept, text_id (xxhash64 of the text, which tells rows of one id apart) for every
+    row: documents linked where 100 * intersection >= percent *
     union of their sets of k-word shingles, grouped by reachability; component_id is the smallest doc_id of the group.
 
     Equal sets collapse to one representative first, so exact copies never meet each other. A bucket of a band is
     compared with its smallest member; buckets whose members then still lie in several components are compared block
     by block across components, so no link between components is left out. The first comparison checks signatures and
-    leaves out only pairs five standard deviations below the threshold; links are confirmed on full sets. A pair at the threshold misses every band with a chance below 1e-7.
+    leaves out only pairs five standard deviations below the threshold; links are confirmed on full sets. A pair at the
+    threshold misses every band with a chance of 4e-9 at 85 %, 3e-6 at 80 %.
 
     Null, empty and wordless texts have an empty set and stay alone; a text with fewer than k words has one shingle;
-    repeated rows count as copies; rows with a null id take part under the id of their copies, if any. No group is
-    gathered anywhere: buckets, stars and components are joins and aggregates on Spark.
+    repeated rows count as copies; rows of one doc_id with other texts are documents each; rows with a null id take part
+    under the id of their copies, if any. No group is gathered anywhere: buckets, stars and components are joins and aggregates on Spark.
     """
     d = docs_of(docs, id_col, text_col)
-    sets = materialize(shingle_sets(d, k, False))
-    classes = materialize(sets.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep")))
-    reps = sets.join(classes.select("d1", "d2", "n_shingles", F.col("rep").alias("doc_id")), ["d1", "d2", "n_shingles", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    reps = materialize(reps.select("doc_id", "sig", "bands", "n_shingles"))
-    buckets = reps.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("id"), "n_shingles")
+    same = ["d1", "d2", "n_shingles"]
+    sets = materialize(shingle_sets(d.withColumn("text_id", F.xxhash64("text")), k, False))
+    classes = sets.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep"))
+    # classes are named by their smallest doc_id; where one id has several texts, by a number besides
+    if not sets.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("d1").alias("x"), F.max("d1").alias("y")).where("x != y").limit(1).isEmpty():
+        classes = classes.withColumn("node", F.struct("rep", F.row_number().over(Window.partitionBy("rep").orderBy(*same)).alias("n")))
+    else:
+        classes = classes.withColumn("node", F.col("rep"))
+    classes = materialize(classes)
+    reps = sets.join(classes.select(*same, F.col("rep").alias("doc_id"), "node"), [*same, "doc_id"]).dropDuplicates(["node"])
+    reps = materialize(reps.select("node", "doc_id", *same, "sig", "bands"))
+    buckets = reps.select(F.explode("bands").alias("bucket"), F.col("node").alias("id"), "n_shingles")
     shared = materialize(buckets.groupBy("bucket").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1"))
     p = percent / 100
     floor = p - 5 * (p * (1 - p) / (BANDS * ROWS)) ** 0.5
     members = materialize(buckets.join(shared, "bucket"))
     star = materialize(members.where("id != least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct())
-    links = _linked(materialize(_likely(star, reps, floor)), d, k, percent)
+    links = _linked(_likely(star, reps, floor), reps, d, k, percent)
     found = connected_components(links)
     label = found.select(F.col("node").alias("id"), F.col("component"))
     labelled = materialize(members.where("n > 2").join(label, "id", "left").select("bucket", "id", "n_shingles", F.coalesce("component", "id").alias("component")))
     split = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("bucket")
     open_ = materialize(labelled.join(split, "bucket", "left_semi"))
     if not open_.limit(1).isEmpty():
-        found = connected_components(links.unionAll(_open_links(open_, d, k, percent)))
-    release(star, shared, members, labelled, open_)
-    named = materialize(classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
-                        .select("d1", "d2", "n_shingles", F.coalesce("component", "rep").alias("component_id")))
-    out = sets.select("doc_id", "d1", "d2", "n_shingles").join(named, ["d1", "d2", "n_shingles"], "left")
+        found = connected_components(links.unionAll(_open_links(open_, reps, d, k, percent)))
+    named = materialize(classes.join(found, "node", "left").select(*same, F.coalesce("component", "node").alias("component_id")))
+    if isinstance(classes.schema["node"].dataType, T.StructType):
+        named = named.withColumn("component_id", F.col("component_id.rep"))
+    out = sets.select("doc_id", "text_id", *same).join(named, same, "left")
+    release(star, shared, members, labelled, open_, reps, links, classes)
     component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), "text_id")
