@@ -72,7 +72,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame:
     return arrays.select(ratio.alias("ratios"))
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 15, threshold: float = -0.06, min_words: int = 50,
+def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 15, threshold: float = -0.085, min_words: int = 50,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, llr, kept for every row.
 
@@ -84,12 +84,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 15, th
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     trusted = labels.where("quality = 1").select(F.col(id_col).alias("doc_id")).distinct()
-    spark = docs.sparkSession
-    name = f"ratios_{id(d):x}"
-    log_ratios(d, trusted, buckets).createOrReplaceTempView(name)
+    ratios = log_ratios(d, trusted, buckets)
     d = repeated_words(with_words(base_columns(d))).withColumn("features", features("word_ids", buckets))
-    d = d.withColumn("ratios", F.expr(f"(select ratios from {name})"))
+    d = docs.sparkSession.sql("SELECT *, (SELECT ratios FROM {r}) AS ratios FROM {d}", r=ratios, d=d)
     d = d.withColumn("llr", F.expr("round(aggregate(features, 0D, (a, x) -> a + coalesce(get(ratios, x), 0D)) / greatest(1, size(features)), 9)"))
     d = d.withColumn("base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr",
-                    (~F.col("base_failed") & (F.col("llr") >= threshold)).alias("kept"))
+    # one generated row each: a filter on the result then can't move below, into the functions over each word
+    kept = ~F.col("base_failed") & (F.col("llr") >= threshold)
+    row = F.struct("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", kept.alias("kept"))
+    return d.select("doc_id", F.explode(F.array(row)).alias("q")).select("doc_id", "q.*")

@@ -85,11 +85,24 @@ def test_quality_equals_brute_force(spark):
     for r in got:
         w = want[r.doc_id]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == w[:6], r.doc_id
-        assert abs(r.llr - w[6]) < 1e-6 and r.kept == (not w[5] and r.llr >= -0.06)
+        assert abs(r.llr - w[6]) < 1e-6 and r.kept == (not w[5] and r.llr >= -0.085)
     assert Q.quality_rules(d.limit(0), lab).count() == 0
     assert Q.quality_rules(d, lab.limit(0)).count() == len(docs)
 
 
+def test_quality_filtered_after_the_fact(spark, sf):
+    """A filter on the result costs no more than the result."""
+    import time
+
+    d, lab = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    took = []
+    for where in ("true", "not base_failed and kept and n_repeat_words < 1000"):
+        start = time.time()
+        Q.quality_rules(d, lab).where(where).write.format("noop").mode("overwrite").save()
+        took.append(time.time() - start)
+    assert took[1] < 2 * took[0] + 5
+
+
 def test_quality_parts_trusted_from_junk(spark, sf):
     r = Q.quality_rules(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("not base_failed")
     good, bad = (r.where(f"quality = {q}").agg(F.avg(F.col("kept").cast("int"))).first()[0] for q in (1, 0))
@@ -127,3 +140,62 @@ def test_repeated_words_of_very_long_texts(spark):
 
     d = spark.range(1).select(F.expr("concat(sequence(1L, 3000000L + id), array(5L, 6L, 7L))").alias("word_ids"))
     assert repeated_words(d).select("n_repeat_words").first()[0] == 6
+
+
+def test_pipeline_equals_plain_python(spark, tmp_path):
+    """All rows of run() against the five stages in plain Python, the language model's own scores apart."""
+    import corpus_pipeline as C
+    import public_tokenizers
+    from itertools import combinations
+    from tokenizers import Tokenizer
+
+    from tests.llm import test_dedup_ops as T
+
+    rng = random.Random(7)
+    words = {l: [f"{l}{a}{b}" for a in "abcdefg" for b in ("an", "or", "ti", "el", "uk")] for l in ("en", "de")}
+    line = lambda l, n: " ".join(rng.choice(words[l]) for _ in range(n))
+    passage = line("en", 60)
+    rows = [(i, "\n".join(line(("en", "de")[i % 2], rng.randint(3, 30)) for _ in range(3)), ("en", "de")[i % 2], "s") for i in range(30)]
+    rows += [(40 + i, f"{line('en', 25)} {passage} {line('en', 25)}", "en", "s") for i in range(3)]
+    rows += [(50, rows[3][1], "de", "s"), (51, rows[4][1] + " more", "en", "s"), (52, None, "en", "s"), (53, "12 34", None, "s"), (54, rows[5][1].split("\n")[0] + "\n" + line("de", 20), "de", "s")]
+    long = line("de", 200).split(" ")
+    rows += [(60 + i, " ".join(long[:100 * i] + ["x"] * i + long[100 * i:]), "de", "s") for i in range(2)]
+    d = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    d.write.parquet(str(tmp_path / "documents.parquet"))
+    d = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    kept = {r.doc_id for r in C.language_id(spark, d, "").collect()}
+    docs = {r[0]: r[1] for r in rows if r[0] in kept}
+    assert 52 not in docs and 53 not in docs and len(docs) == len(rows) - 2
+    # lines
+    places = sorted((i, n, T.py_norm(x)) for i, t in docs.items() for n, x in enumerate(t.split("\n")) if T.py_norm(x))
+    norms = sorted({p[2] for p in places})
+    group = T.components(norms, [(a, b) for a, b in combinations(norms, 2) if T.line_link(a, b)])
+    first = {}
+    for p in places:
+        first.setdefault(group[p[2]], p[:2])
+    gone = {p[:2] for p in places if first[group[p[2]]] != p[:2]}
+    lines = {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone) for i, t in docs.items()}
+    docs = {i: t for i, t in lines.items() if T.py_norm(t)}
+    assert 50 not in docs
+    # near-duplicates
+    sets = {i: {tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))} for i, t in docs.items() for w in [WORD.findall(t.translate(T.LOWER))]}
+    near = T.components(sets, [(a, b) for a, b in combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+    docs = {i: t for i, t in docs.items() if near[i] == i}
+    # passages
+    raw = [t.encode() for t in docs.values()]
+    cut = {}
+    for i, b, spans in zip(docs, raw, T.brute_spans(raw, C.PASSAGE)):
+        at, out = 0, b""
+        for x, y in spans:
+            out, at = out + b[at:x], y
+        cut[i] = (out + b[at:]).decode()
+    assert passage not in "".join(cut.values()) and cut != docs
+    # packing
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    got, seqs = {}, {}
+    for r in sorted(C.run(spark, str(tmp_path)).collect(), key=lambda r: (r.doc_id, r.start)):
+        assert r.start == len(got.setdefault(r.doc_id, []))
+        got[r.doc_id] += np.frombuffer(bytes(r.ids), "<u4").tolist()
+        seqs[r.sequence_id] = seqs.get(r.sequence_id, 0) + r.length
+    assert got == {i: [*tok.encode(t, add_special_tokens=False).ids, 1] for i, t in cut.items()}
+    assert all(n == 2048 or n & (n - 1) == 0 for n in seqs.values())
