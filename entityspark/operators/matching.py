@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entityspark.functions import text as X
+from entityspark.storage import materialize
 
 #: Rule name, keys, score and length guard of the exact rules, in order of precedence.
 EXACT_RULES = [("name_place", ["name_norm", "place_norm"], 100, "length(name_norm) >= 4"), ("nit", ["key_nit"], 100, "length(key_nit) >= 8"),
@@ -31,39 +32,70 @@ def match_on(d: DataFrame, keys: list[str], rule: str, score: int, decision: str
     return out.select("a", "b", F.lit(rule).alias("rule"), F.lit(score).alias("score"), F.lit(decision).alias("decision"))
 
 
-def similarity_join(d: DataFrame, column: str, threshold: float, block: str | None, id_col: str = "record_id", left_min: int = 0, right_min: int = 0) -> DataFrame:
-    """a, b, similarity: pairs (a < b) of a block whose trigram similarity reaches the threshold, exactly.
+#: Strings of a place under one trigram that meet in one task's key at most, about.
+SLICE = 2000
+
+
+def _bitmap(grams: str, words: int = 4) -> list[Column]:
+    """A set as bits: 64-bit integers, in which every element sets one bit."""
+    return [F.expr(f"aggregate({grams}, 0L, (a, x) -> if(pmod(shiftright(x, 6), {words}) = {i}, a | shiftleft(1L, cast(x & 63 as int)), a))") for i in range(words)]
+
+
+def _similar_strings(texts: DataFrame, threshold: float) -> DataFrame:
+    """x, y, similarity: pairs (x < y) of the ids of a block's distinct strings (blk, sid, g: hashes of the trigrams)."""
+    # the float comparison may round up by half a unit in the last place
+    low = threshold - 1e-6
+    d = texts.select("blk", "sid", F.size("g").alias("n"), "g", *(b.alias(f"b{i}") for i, b in enumerate(_bitmap("g"))))
+    grams = d.select("blk", "sid", F.explode("g").alias("gram"))
+    freq = grams.groupBy("blk", "gram").agg(F.count("*").alias("f"))
+    ranked = grams.join(freq, ["blk", "gram"]).groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("f", "gram"))).alias("r"))
+    prefix = d.drop("g").join(ranked, "sid").withColumn("p", F.explode(F.slice("r", F.lit(1), (F.col("n") - F.ceil(F.col("n") * low) + 1).cast("int"))))
+    prefix = prefix.where("p.f > 1").select("blk", "sid", "n", "b0", "b1", "b2", "b3", "p.gram", F.ceil(F.col("p.f") / SLICE).cast("int").alias("of"))
+    own, every = F.pmod(F.xxhash64("sid"), F.col("of")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("of") - 1))
+    x, y = prefix.withColumn("slice", own).alias("x"), prefix.withColumn("slice", every).alias("y")
+    # each bit that differs stands for an element that only one side has, and the threshold bounds their number
+    differ = " + ".join(f"bit_count(x.b{i} ^ y.b{i})" for i in range(4))
+    near = x.join(y, ["blk", "gram", "slice"]).where(f"x.sid < y.sid and x.n >= y.n * {low} and y.n >= x.n * {low} and {differ} <= (x.n + y.n) * {(1 - low) / (1 + low)!r}")
+    near = near.select(F.col("x.sid").alias("x"), F.col("y.sid").alias("y")).distinct()
+    side = lambda c: texts.select(F.col("sid").alias(c), F.col("g").alias(f"{c}g"))
+    alike = near.join(side("x"), "x").join(side("y"), "y").withColumn("similarity", X.set_similarity(F.col("xg"), F.col("yg")))
+    return alike.where(F.col("similarity") >= threshold).select("x", "y", "similarity")
+
+
+def similarity_join(d: DataFrame, column: str, threshold: float, block: str | None, id_col: str = "record_id", left_min: int = 0, right_min: int = 0, pairs: str = "all") -> DataFrame:
+    """a, b, similarity: pairs (a < b) of a block whose trigram similarity reaches the threshold, exactly (64-bit hashes
+    stand for trigrams).
 
     A pair that similar shares a trigram among the rarest of each side, and sizes within the threshold's ratio: each
-    record is sent under its (size - ceil(t * size) + 1) rarest trigrams of its block only, so the join key is (block,
-    trigram) and never the block alone. Records with equal strings of a block meet once and are expanded after that.
+    string is sent under its (size - ceil(t * size) + 1) rarest trigrams of its block only, so the join key is (block,
+    trigram), in slices where many strings share it, and never the block alone. Bitmaps of the sets part most pairs
+    inside the join. Equal strings of a block are one row named by its smallest id until the end; pairs='all' then gives
+    every pair of records, 'star' links the strings' first records, and each record with the first of its string.
     """
     key = F.col(block) if block else F.lit("")
     rows = d.where(F.col(column).isNotNull() & key.isNotNull()).select(F.col(id_col).alias("id"), key.alias("blk"), F.col(column).alias("s"))
-    texts = rows.select("blk", "s").distinct().withColumn("g", X.trigrams(F.col("s"))).where(F.size("g") > 0)
-    grams = texts.select("blk", "s", F.size("g").alias("n"), F.explode("g").alias("gram"))
-    freq = grams.groupBy("blk", "gram").agg(F.count("*").alias("f"))
-    ranked = grams.join(freq, ["blk", "gram"]).groupBy("blk", "s", "n").agg(F.sort_array(F.collect_list(F.struct("f", "gram"))).alias("r"))
-    # the float comparison may round up by half a unit in the last place
-    low = threshold - 1e-6
-    prefix = ranked.select("blk", "s", "n", F.explode(F.slice("r", F.lit(1), (F.col("n") - F.ceil(F.col("n") * low) + 1).cast("int"))).alias("p")).select("blk", "s", "n", F.col("p.gram").alias("gram"))
-    x, y = prefix.alias("x"), prefix.alias("y")
-    near = x.join(y, ["blk", "gram"]).where(f"x.s < y.s and x.n >= y.n * {low} and y.n >= x.n * {low}").select("blk", F.col("x.s").alias("sa"), F.col("y.s").alias("sb")).distinct()
-    alike = near.withColumn("similarity", X.trigram_similarity(F.col("sa"), F.col("sb"))).where(F.col("similarity") >= threshold)
-    both = alike.select("blk", "sa", "sb", "similarity").unionAll(alike.select("blk", F.col("sb").alias("sa"), F.col("sa").alias("sb"), "similarity"))
-    same = texts.select("blk", F.col("s").alias("sa"), F.col("s").alias("sb"), F.lit(1.0).alias("similarity"))
-    pairs = both.unionAll(same).join(rows.select("blk", F.col("s").alias("sa"), F.col("id").alias("a")), ["blk", "sa"]).join(rows.select("blk", F.col("s").alias("sb"), F.col("id").alias("b")), ["blk", "sb"])
-    return pairs.where("a < b").where((F.length("sa") >= left_min) & (F.length("sb") >= right_min)).select("a", "b", "similarity")
-
-
-def similar_names(d: DataFrame, threshold: float = 0.75) -> DataFrame:
-    p = similarity_join(d.where("length(name_norm) >= 4"), "name_norm", threshold, "place_norm")
+    texts = rows.groupBy("blk", "s").agg(F.min("id").alias("sid")).withColumn("g", F.transform(X.trigrams(F.col("s")), lambda t: F.xxhash64(t))).where(F.size("g") > 0)
+    texts = materialize(texts)
+    alike = _similar_strings(texts, threshold)
+    named = rows.join(texts.select("blk", "s", "sid"), ["blk", "s"]).select("id", "sid", F.length("s").alias("len"))
+    if pairs == "star":
+        first = named.where("id = sid").select("sid", "len")
+        out = alike.join(first.toDF("x", "lx"), "x").join(first.toDF("y", "ly"), "y").select(F.col("x").alias("a"), F.col("y").alias("b"), "similarity", "lx", "ly")
+        out = out.unionAll(named.where("id != sid").select(F.col("sid").alias("a"), F.col("id").alias("b"), F.lit(1.0), F.col("len"), F.col("len")))
+        return out.where(f"lx >= {left_min} and ly >= {right_min}").select("a", "b", "similarity")
+    both = alike.unionAll(alike.select(F.col("y").alias("x"), F.col("x").alias("y"), "similarity")).unionAll(texts.select("sid", "sid", F.lit(1.0)))
+    out = both.join(named.toDF("a", "x", "la"), "x").join(named.toDF("b", "y", "lb"), "y")
+    return out.where(f"a < b and la >= {left_min} and lb >= {right_min}").select("a", "b", "similarity")
+
+
+def similar_names(d: DataFrame, threshold: float = 0.75, pairs: str = "all") -> DataFrame:
+    p = similarity_join(d.where("length(name_norm) >= 4"), "name_norm", threshold, "place_norm", pairs=pairs)
     score = F.when(F.col("similarity") >= 0.85, 85).when(F.col("similarity") >= 0.80, 80).otherwise(75)
     return p.select("a", "b", F.lit("similar_name").alias("rule"), score.alias("score"), F.lit("pending").alias("decision"))
 
 
-def similar_addresses(d: DataFrame, threshold: float = 0.80) -> DataFrame:
-    p = similarity_join(d, "address_norm", threshold, "place_norm", left_min=8)
+def similar_addresses(d: DataFrame, threshold: float = 0.80, pairs: str = "all") -> DataFrame:
+    p = similarity_join(d, "address_norm", threshold, "place_norm", left_min=8, pairs=pairs)
     return p.select("a", "b", F.lit("similar_address").alias("rule"), F.lit(70).alias("score"), F.lit("pending").alias("decision"))
 
 
@@ -96,9 +128,44 @@ def resolve_rules(found: list[DataFrame]) -> DataFrame:
     return all_.groupBy("a", "b").agg(F.min_by(F.struct("rule", "score", "decision"), "rank").alias("m")).select("a", "b", "m.*")
 
 
+def exact_rules(d: DataFrame) -> list[tuple[str, list[str], int, str]]:
+    """The rules whose columns d has."""
+    return [r for r in EXACT_RULES if all(k in d.columns for k in r[1])]
+
+
 def all_matches(d: DataFrame, pairs: str = "all") -> DataFrame:
-    found = [match_on(d, keys, rule, score, guard=guard, pairs=pairs) for rule, keys, score, guard in EXACT_RULES if all(k in d.columns for k in keys)]
-    return resolve_rules([*found, similar_names(d), similar_addresses(d), near_names(d)])
+    """a, b, rule, score, decision: the links of all rules, the first rule for each pair. With pairs='star' shared keys
+    and equal strings are stars, one row per record, and every pair has the rule it has among all pairs."""
+    found = [match_on(d, keys, rule, score, guard=guard, pairs=pairs) for rule, keys, score, guard in exact_rules(d)]
+    out = resolve_rules([*found, similar_names(d, pairs=pairs), similar_addresses(d, pairs=pairs), near_names(d)])
+    return first_exact_rule(out, d) if pairs == "star" else out
+
+
+def first_exact_rule(matches: DataFrame, d: DataFrame) -> DataFrame:
+    """matches with the first exact rule that holds between both records, where one does: stars leave out most pairs of
+    a key, of which a later rule may link some."""
+    rules = exact_rules(d)
+    keys = [F.when(F.expr(guard) & F.expr(" and ".join(f"{k} is not null" for k in ks)), F.struct(*ks)).alias(f"k{i}") for i, (_, ks, _, guard) in enumerate(rules)]
+    side = lambda c: d.select(F.col("record_id").alias(c), *(k.alias(f"{c}{i}") for i, k in enumerate(keys)))
+    j = matches.join(side("a"), "a").join(side("b"), "b")
+    first = F.coalesce(*(F.when(F.col(f"a{i}") == F.col(f"b{i}"), F.struct(F.lit(rule).alias("rule"), F.lit(score).alias("score"), F.lit("auto_match").alias("decision"))) for i, (rule, _, score, _) in enumerate(rules)))
+    return j.select("a", "b", F.coalesce(first, F.struct("rule", "score", "decision")).alias("m")).select("a", "b", "m.*")
+
+
+def exact_pairs_per_entity(clustered: DataFrame) -> DataFrame:
+    """entity, n: how many pairs of an entity's records at least one exact rule links, without making the pairs: by
+    inclusion and exclusion over the groups of equal keys of every set of rules."""
+    rules = exact_rules(clustered)
+    sets = [[j for j in range(len(rules)) if i >> j & 1] for i in range(1, 1 << len(rules))]
+
+    def key(some: list[int]) -> Column:
+        names = sorted({k for j in some for k in rules[j][1]})
+        holds = " and ".join(f"({rules[j][3]})" for j in some) + "".join(f" and {k} is not null" for k in names)
+        return F.when(F.expr(holds), F.struct(F.lit(1 if len(some) % 2 else -1).alias("sign"), F.lit(",".join(map(str, some))).alias("rules"), F.to_json(F.array(*names)).alias("key")))
+
+    rows = clustered.select("entity", F.explode(F.array(*map(key, sets))).alias("k")).where("k is not null")
+    groups = rows.groupBy("entity", "k").agg(F.count("*").alias("c")).where("c > 1")
+    return groups.groupBy("entity").agg(F.sum(F.expr("k.sign * (c * (c - 1)) div 2")).alias("n"))
 
 
 def unmatched(pairs: DataFrame, known: DataFrame) -> DataFrame:

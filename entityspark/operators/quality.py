@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entityspark.operators.matching import EXACT_RULES, exact_pairs_per_entity
+
 #: Severity per field, and weights of the two scores.
 SEVERITY = {"name": "media", "phone": "media", "email": "baja", "place": "alta"}
 WEIGHTS = {"nit": 25, "name": 15, "place": 10, "address": 10, "phone": 15, "email": 10}
@@ -35,9 +37,11 @@ def invalid_formats(d: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFra
 
 
 def conflict_summary(conflicts: DataFrame) -> DataFrame:
-    """Counts by field, by severity and in total, in one pass."""
-    return (conflicts.groupingSets([[F.col("field")], [F.col("severity")], []], "field", "severity").agg(F.count("*").alias("n"), F.grouping_id().alias("level"))
-            .select("field", "severity", "n", F.col("level").cast("int").alias("level")))
+    """Counts by field, by severity and in total; the total is there for an empty table too."""
+    none = F.lit(None).cast("string")
+    by = conflicts.groupingSets([[F.col("field")], [F.col("severity")]], "field", "severity").agg(F.count("*").alias("n"), F.grouping_id().alias("level"))
+    total = conflicts.agg(F.count("*").alias("n")).select(none.alias("field"), none.alias("severity"), "n", F.lit(3).alias("level"))
+    return by.select("field", "severity", "n", F.col("level").cast("int").alias("level")).unionAll(total)
 
 
 def severity_rank(c: Column) -> Column:
@@ -54,10 +58,16 @@ def quality_score(e: DataFrame) -> DataFrame:
     return e.withColumn("quality", score).withColumn("approved", F.col("quality") >= 80)
 
 
-def matches_per_entity(clustered: DataFrame, matches: DataFrame) -> DataFrame:
-    """Confirmed pairs by the entity of their first record."""
-    n = matches.where("decision in ('auto_match', 'ia_match')").join(clustered.select(F.col("record_id").alias("a"), "entity"), "a").groupBy("entity").agg(F.count("*").alias("n_matches"))
-    return clustered.select("entity").distinct().join(n, "entity", "left").na.fill(0, ["n_matches"])
+def matches_per_entity(clustered: DataFrame, matches: DataFrame, stars: bool = False) -> DataFrame:
+    """Confirmed pairs by the entity of their first record. stars: the exact rules' matches are stars, so their pairs
+    are counted by the sizes of the groups with equal keys; reviewed matches are counted as they stand."""
+    m, exact = matches.where("decision in ('auto_match', 'ia_match')").withColumn("n", F.lit(1)), F.col("rule").isin([r[0] for r in EXACT_RULES])
+    if stars:  # the counted pairs that a review has taken out, and those that only a review has confirmed
+        m = matches.where((F.col("decision") == "no_match") & exact).withColumn("n", F.lit(-1)).unionByName(m.where((F.col("decision") == "ia_match") & ~exact))
+    n = m.join(clustered.select(F.col("record_id").alias("a"), "entity"), "a").groupBy("entity").agg(F.sum("n").alias("n"))
+    if stars:
+        n = n.unionByName(exact_pairs_per_entity(clustered)).groupBy("entity").agg(F.sum("n").alias("n"))
+    return clustered.select("entity").distinct().join(n.withColumnRenamed("n", "n_matches"), "entity", "left").na.fill(0, ["n_matches"])
 
 
 def quality_summary(e: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ class Resolution:
 
 def resolve(raw: DataFrame, places: DataFrame | None = None, verdicts: DataFrame | None = None, pairs: str = "star") -> Resolution:
     """raw: the unified records. Normalised records, matches and clusters are written once each, since many steps read
-    them; pairs='star' keeps shared keys linear and gives the clusters that all pairs give."""
+    them; pairs='star' keeps shared keys linear and gives the clusters, rules and counts that all pairs give."""
     d = records.normalize_records(records.drop_in_liquidation(raw))
     d = materialize(records.standardize_places(d, places) if places is not None else d)
     found = matching.all_matches(d, pairs)
@@ -30,5 +30,5 @@ def resolve(raw: DataFrame, places: DataFrame | None = None, verdicts: DataFrame
     fields = {"name": "name_norm", "phone": "phone_norm", "email": "email_norm", "place": "place_norm"}
     clustered = materialize(golden.cluster_records(d, found))
     best = golden.unique_on(golden.merge_golden(clustered)).join(golden.entity_stats(clustered, found), "entity").drop("n_matches")
-    entities = quality.quality_score(best).join(quality.matches_per_entity(clustered, found), "entity", "left").withColumn("public_id", F.substring(F.sha2(F.concat(F.lit("e"), F.col("entity").cast("string")), 256), 1, 16))
+    entities = quality.quality_score(best).join(quality.matches_per_entity(clustered, found, stars=pairs == "star"), "entity", "left").withColumn("public_id", F.substring(F.sha2(F.concat(F.lit("e"), F.col("entity").cast("string")), 256), 1, 16))
     return Resolution(d, found, quality.detect_conflicts(d, fields), clustered, quality.drop_inactive_register_only(entities))

@@ -60,8 +60,11 @@ def test_star_and_all_pairs_cluster_alike_in_any_order(spark, resolved):
     other = resolve(d, pairs="all")
     pick = lambda x: sorted((r.record_id, r.entity) for r in x.clustered.collect())
     assert pick(resolved) == pick(other)
-    key = lambda x: sorted(map(str, x.entities.drop("n_matches").collect()))
+    key = lambda x: sorted(map(str, x.entities.collect()))
     assert key(resolved) == key(other)
+    rules = {(r.a, r.b): r.rule for r in other.matches.collect()}
+    assert all(rules[r.a, r.b] == r.rule for r in resolved.matches.collect())
+    assert max(r.n_matches for r in resolved.entities.collect()) > 1
 
 
 def test_contrast_equals_all_pairs(spark, sf, monkeypatch):
@@ -118,6 +121,26 @@ def test_similarity_join_equals_all_pairs(spark):
         assert got == sorted((r[0], r[1]) for r in pairs.select("x.record_id", "y.record_id").collect())
 
 
+def test_similarity_stars_join_what_all_pairs_join(spark, monkeypatch):
+    monkeypatch.setattr(matching, "SLICE", 3)
+    test_similarity_join_equals_all_pairs(spark)
+    rows = [(i, "x", ("ferreteria norte", "ferreteria nortes", "casa sur")[i % 3]) for i in range(30)]
+    d = spark.createDataFrame(rows, "record_id long, blk string, s string")
+    groups = [{r.node: r.component for r in components.connected_components(matching.similarity_join(d, "s", 0.7, "blk", pairs=p)).collect()} for p in ("all", "star")]
+    assert groups[0] == groups[1] and matching.similarity_join(d, "s", 0.7, "blk", pairs="star").count() == 28
+
+
+def test_exact_pairs_are_counted_without_making_them(spark):
+    rng = random.Random(8)
+    rows = [(i, rng.choice(["casa norte", "casa sur", "sol"]), rng.choice(["x", "y"]), rng.choice([None, "", "900000001", "900000002"]), rng.choice([None, "a@b.co"]), rng.choice([None, "3001234567", "300"]), rng.choice([None, "r1", "r2"])) for i in range(60)]
+    d = spark.createDataFrame(rows, "record_id long, name_norm string, place_norm string, key_nit string, email_norm string, phone_norm string, register_id string")
+    found = matching.resolve_rules([matching.match_on(d, k, r, s, guard=g) for r, k, s, g in matching.EXACT_RULES])
+    assert {r.rule for r in found.collect()} >= {"register_id", "nit", "name_place"}
+    c = golden.cluster_records(d, found)
+    want = {r.entity: r.n_matches for r in quality.matches_per_entity(c, found).collect()}
+    assert {r.entity: r.n_matches for r in quality.matches_per_entity(c, found.limit(0), stars=True).collect()} == want and max(want.values()) > 100
+
+
 def test_near_pairs_equal_all_pairs(spark):
     rng = random.Random(4)
     rows = [(i, 4.6 + rng.random() * 0.004, -74.1 + rng.random() * 0.004) for i in range(150)] + [(900, 0.0, 0.0), (901, 0.0, 0.0), (902, None, 1.0)]
