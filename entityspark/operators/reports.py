@@ -126,7 +126,16 @@ def csv_listings(d: DataFrame, path: str, approved_only: bool = False) -> None:
     d.select(*flat).repartitionByRange("department", "place", F.desc("score")).sortWithinPartitions("department", "place", F.desc("score")).write.mode("overwrite").partitionBy("department").csv(path, header=True)
 
 
-def nested_matches(hydrated: DataFrame, columns: list[str], cap: int = 50_000) -> DataFrame:
-    """Pairs with one struct per record, best first, as the JSON report takes them; the cap is the report's size."""
+def nested_matches(hydrated: DataFrame, columns: list[str], cap: int | None = 50_000) -> DataFrame:
+    """Pairs with one struct per record, as the JSON report takes them: the cap best ones in order, or all with None."""
     side = lambda s: F.struct(*(F.col(f"{s}_{c}").alias(c) for c in columns)).alias(f"record_{s}")
-    return hydrated.select("a", "b", "rule", "score", "decision", side("a"), side("b")).orderBy(F.desc("score"), "a", "b").limit(cap)
+    out = hydrated.select("a", "b", "rule", "score", "decision", side("a"), side("b"))
+    return out if cap is None else out.orderBy(F.desc("score"), "a", "b").limit(cap)
+
+
+def nested_conflicts(conflicts: DataFrame, records: DataFrame, columns: list[str], cap: int | None = 50_000) -> DataFrame:
+    """Conflicts with a struct of the record they are on, as the JSON report takes them: worst first, or all with None."""
+    r = records.select("record_id", F.struct(*columns).alias("record"))
+    out = conflicts.join(r, "record_id")
+    rank = F.when(F.col("severity") == "critica", 1).when(F.col("severity") == "alta", 2).when(F.col("severity") == "media", 3).otherwise(4)
+    return out if cap is None else out.orderBy(rank, "field", "record_id").limit(cap)

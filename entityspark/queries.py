@@ -16,6 +16,7 @@ from entityspark.functions import text as X
 from entityspark.operators import contrast, coverage, geo, golden, matching, places, quality, records, reports
 from entityspark.plans.resolution import resolve
 from entityspark.sources import flatten, tables, webpages
+from entityspark.storage import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -717,3 +718,181 @@ def prospects(spark, sf):
 def run_report(spark, sf):
     d = normalized(spark, sf)
     return reports.run_report(d, matching.all_matches(d), _entities(spark, sf))
+
+
+# ---------------------------------------------------------------- payloads and files of the other sources
+
+@query("x2_panel_phones", """SELECT page_id, CASE page_id % 3 WHEN 0 THEN concat('601 ', page_id) WHEN 1 THEN concat('602 ', page_id) END AS phone FROM pages""")
+def panel_phones(spark, sf):
+    """The first alias that is there and not blank; other attributes are no phone."""
+    number = lambda area: F.concat(F.lit(f"{area} "), F.col("page_id").cast("string"))
+    attributes = F.create_map(F.lit("Phone"), F.when(F.col("page_id") % 3 == 0, F.lit("9")).otherwise(F.lit("")), F.lit("Telefono"), F.when(F.col("page_id") % 3 == 0, number("601")).otherwise(F.lit("")),
+                              F.lit("Llámanos"), F.when(F.col("page_id") % 3 == 1, number("602")).otherwise(F.lit("")), F.lit("Horario"), F.lit("8-5"))
+    panel = F.struct(F.lit("Sitio").alias("title"), F.col("url").alias("website"), attributes.alias("attributes"))
+    d = read(spark, sf, "pages").select("page_id", F.to_json(F.struct(panel.alias("knowledgeGraph"))).alias("payload"))
+    return flatten.flatten_search(d).select("page_id", "phone")
+
+
+@query("x3_flatten_branches", f"""WITH {REC} SELECT record_id, name, 'Norte' AS branch, concat('Calle 1 ', record_id) AS address, '6011 / 6012' AS phone, round(lat, 6) AS lat FROM rec WHERE record_id % 3 = 0
+  UNION ALL SELECT record_id, name, place, 'Calle 2 5', '3000', 0.0 FROM rec WHERE record_id % 3 = 0
+  UNION ALL SELECT record_id, name, 'Principal', address, CASE WHEN record_id % 3 = 1 THEN '7001' ELSE '3000' END, round(lat, 6) FROM rec WHERE record_id % 3 <> 0 AND record_id % 10 <> 9""")
+def flatten_branches(spark, sf):
+    """Listings with two branches, with a main address only, and with one that is visited by appointment."""
+    text = lambda v: F.lit(v).cast("string")
+    phones = lambda *v: F.array(*(F.struct(F.lit(x).alias("phoneToShow"), text(None).alias("number")) for x in v)).cast("array<struct<phoneToShow:string,number:string>>")
+
+    def address(name, locality, street, number, lat, listed, spare):
+        return F.struct(name.alias("mainAddressName"), locality.alias("addressLocality"), street.alias("streetName"), number.alias("streetNumber"), lat.alias("latitude"), lat.alias("longitude"), listed.alias("allPhonesList"), phones().alias("allPhones"), spare.alias("phones"))
+
+    lat, rid = F.col("lat").cast("string"), F.col("record_id").cast("string")
+    two = F.array(address(text("Norte"), F.col("place"), text("Calle 1"), rid, lat, phones("6011", "6012"), phones("1")), address(text(""), F.col("place"), text("Calle 2"), text("5"), text("no"), phones(), phones()))
+    street = F.when(F.col("record_id") % 10 == 9, "Atiende en toda la ciudad").otherwise(F.col("address"))
+    main = address(text(None), text(None), street, text(None), lat, phones(), F.when(F.col("record_id") % 3 == 1, phones("7001")).otherwise(phones()))
+    payload = F.struct("name", F.struct(text("3000").alias("phoneToShow")).alias("mainPhone"), main.alias("mainAddress"), F.when(F.col("record_id") % 3 == 0, two).otherwise(F.array().cast(dict(listings(spark, sf).select(two.alias("t")).dtypes)["t"])).alias("allAddresses"))
+    d = listings(spark, sf).select("record_id", F.to_json(payload).alias("payload"))
+    return flatten.flatten_branches(d).select("record_id", "name", "branch", "address", "phone", F.round("lat", 6).alias("lat"))
+
+
+@query("x4_flatten_place", f"""WITH {REC} SELECT concat('f', record_id) AS place_id, name, CASE WHEN record_id % 2 = 0 THEN 'Tunja' ELSE place END AS place, CASE WHEN place = 'MUNICIPIO 1' THEN 'Zona Uno' ELSE 'Otra' END AS department, address, 'Ferretería, Pinturas' AS categories,
+  'a1, b2' AS category_ids, md5(concat('fsq||f', record_id)) AS hash_id FROM rec WHERE record_id % 9 <> 4""")
+def flatten_place(spark, sf):
+    categories = F.array(F.struct(F.lit("a1").alias("id"), F.lit("Ferretería").alias("name")), F.struct(F.lit("b2").alias("id"), F.lit("Pinturas").alias("name")))
+    location = F.struct(F.when(F.col("record_id") % 2 == 0, F.lit("Tunja")).otherwise(F.lit("")).alias("locality"), F.lit("Otra").alias("region"), F.col("address").alias("formatted_address"))
+    named = F.when(F.col("record_id") % 9 != 4, F.concat(F.lit("f"), F.col("record_id").cast("string")))
+    payload = F.to_json(F.struct(named.alias("fsq_place_id"), "name", location.alias("location"), categories.alias("categories"), F.lit("2024-05-01").alias("date_refreshed")))
+    d = listings(spark, sf).select(F.col("place").alias("search_city"), F.lit("2024-06-01").alias("extracted"), payload.alias("payload"))
+    return flatten.flatten_place(d, {"municipio 1": "Zona Uno"}).select("place_id", "name", "place", "department", "address", "categories", "category_ids", "hash_id")
+
+
+@query("x6_flatten_register", """SELECT c_custkey, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN 'Tunja' ELSE 'Cali' END AS place, CASE WHEN c_custkey % 2 = 0 THEN concat('+57300', lpad(CAST(c_custkey AS VARCHAR), 7, '0')) ELSE '+576011234567' END AS phone,
+  CASE WHEN c_custkey % 3 <> 0 THEN DATE '2020-03-04' END AS fecha_matricula FROM customer""")
+def flatten_register(spark, sf):
+    d = read(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("razon_social"), F.when(F.col("c_custkey") % 2 == 0, "Tunja").otherwise(" ").alias("mun_comercial"), F.lit("Cali").alias("mun_fiscal"),
+                                           F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("300 "), F.lpad(F.col("c_custkey").cast("string"), 7, "0"))).otherwise("").alias("tel_com_1"), F.lit("57 601 1234567").alias("telefono"),
+                                           F.when(F.col("c_custkey") % 3 == 0, "99991231").otherwise("20200304").alias("fecha_matricula"))
+    return flatten.flatten_register(d).select("c_custkey", "name", "place", "phone", "fecha_matricula")
+
+
+@query("x7_flatten_owners", """SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS owner_id, concat('Dueño ', o_custkey) AS owner, 'first' AS kind FROM orders WHERE o_orderkey % 4 <> 0 UNION ALL SELECT o_orderkey, NULL, NULL, 'first' FROM orders WHERE o_orderkey % 4 = 0
+  UNION ALL SELECT o_orderkey, CAST(o_custkey AS VARCHAR), concat('Dueño ', o_custkey), 'every' FROM orders WHERE o_orderkey % 4 <> 0 UNION ALL SELECT o_orderkey, 'x', 'Otro', 'every' FROM orders WHERE o_orderkey % 4 <> 0 UNION ALL SELECT o_orderkey, NULL, NULL, 'every' FROM orders WHERE o_orderkey % 4 = 0""")
+def flatten_owners(spark, sf):
+    owner = F.struct(F.col("o_custkey").cast("string").alias("NUMERO_IDENTIFICACION"), F.concat(F.lit("Dueño "), F.col("o_custkey").cast("string")).alias("RAZON_SOCIAL"))
+    other = F.struct(F.lit("x").alias("NUMERO_IDENTIFICACION"), F.lit("Otro").alias("RAZON_SOCIAL"))
+    d = read(spark, sf, "orders").select("o_orderkey", F.to_json(F.when(F.col("o_orderkey") % 4 != 0, F.array(owner, other)).otherwise(F.array().cast("array<struct<NUMERO_IDENTIFICACION:string,RAZON_SOCIAL:string>>"))).alias("owners"))
+    both = [flatten.flatten_owners(d, every=every).select("o_orderkey", "owner_id", "owner", F.lit(kind).alias("kind")) for kind, every in (("first", False), ("every", True))]
+    return both[0].unionByName(both[1])
+
+
+@query("s2_event_log", "SELECT CAST(event_id AS VARCHAR) AS id_rm, event_type AS keyword FROM events WHERE user_id % 2 = 0")
+def event_log(spark, sf):
+    """Events written as a JSON-lines log with a line that is no JSON, and one kind of it read back."""
+    d = read(spark, sf, "events").select(F.to_json(F.struct(F.when(F.col("user_id") % 2 == 0, "detalle").otherwise("busqueda").alias("tipo"), F.col("event_id").cast("string").alias("id_rm"), F.col("event_type").alias("keyword"))).alias("value"))
+    path = scratch_path(spark)
+    d.unionAll(spark.sql("select 'no json' as value")).write.text(path)
+    return tables.read_log(spark, path, "detalle").select("id_rm", "keyword")
+
+
+@query("s3_read_customers", "SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS account, coalesce(c_mktsegment, '') AS place, '' AS address FROM customer")
+def customer_sheet(spark, sf):
+    """A customer sheet with blanks in its headers, one alternative name and missing columns."""
+    path = scratch_path(spark)
+    read(spark, sf, "customer").select(F.col("c_custkey").alias(" Código de cliente "), F.col("c_name").alias("Nombre de la cuenta"), F.col("c_mktsegment").alias("Población ")).write.csv(path, header=True)
+    return contrast.read_customers(spark, path).select("code", "account", "place", "address")
+
+
+@query("s4_entity_csv", f"WITH RECURSIVE {ENTITIES} SELECT CAST(entity AS VARCHAR) AS entity, nit, name, place, phone, email, CAST(quality AS VARCHAR) AS quality FROM entities")
+def entity_csv(spark, sf):
+    path = scratch_path(spark)
+    reports.csv_entities(_entities(spark, sf), path)
+    return spark.read.csv(path, header=True).select("entity", "nit", "name", "place", "phone", "email", "quality")
+
+
+@query("s5_listing_csv", f"WITH {REC} SELECT CAST(record_id AS VARCHAR) AS record_id, concat(source, ', ', place) AS tags, CAST(score AS VARCHAR) AS score, concat('zona ', record_id % 4) AS department FROM rec WHERE approved")
+def listing_csv(spark, sf):
+    path = scratch_path(spark)
+    d = listings(spark, sf).withColumns({"department": F.concat(F.lit("zona "), (F.col("record_id") % 4).cast("string")), "tags": F.array("source", "place")})
+    reports.csv_listings(d.select("record_id", "tags", "place", "score", "department", "approved"), path, approved_only=True)
+    return spark.read.csv(path, header=True).select("record_id", "tags", "score", "department")
+
+
+@query("s6_nested_reports", f"""WITH {NORM}, {EXACT}, m AS (SELECT a, b, arg_min(rule, rank) AS rule, arg_min(score, rank) AS score FROM exact_ GROUP BY a, b)
+  SELECT m.a, m.b, m.rule, x.name AS left_name, y.source AS right_source FROM m JOIN norm x ON x.record_id = m.a JOIN norm y ON y.record_id = m.b""")
+def nested_reports(spark, sf):
+    """The whole match report as JSON, read back."""
+    d = normalized(spark, sf)
+    m = matching.resolve_rules([matching.match_on(d, k, r, s, guard=g) for r, k, s, g in matching.exact_rules(d)])
+    path = scratch_path(spark)
+    nested = reports.nested_matches(matching.hydrate(m, d, ["name", "source"]), ["name", "source"], cap=None)
+    nested.write.json(path)
+    return spark.read.schema(nested.schema).json(path).select("a", "b", "rule", F.col("record_a.name").alias("left_name"), F.col("record_b.source").alias("right_source"))
+
+
+@query("r1_incremental_ingest", "SELECT hash_id, min(event_id) AS event_id FROM (SELECT concat('k', user_id, event_type) AS hash_id, event_id FROM events) GROUP BY hash_id")
+def incremental_ingest(spark, sf):
+    """A log that grows between two runs of the ingest; the second adds new keys only."""
+    from entityspark.streaming.ingest import ingest
+
+    d = read(spark, sf, "events").select("event_id", F.concat(F.lit("k"), F.col("user_id").cast("string"), F.col("event_type")).alias("hash_id"))
+    half = d.agg(F.percentile_approx("event_id", 0.5)).first()[0] or 0
+    log, table, checkpoint = (scratch_path(spark) for _ in range(3))
+    for part in (F.col("event_id") <= half, F.col("event_id") > half):
+        d.where(part).write.mode("append").json(log)
+        ingest(spark, log, "event_id long, hash_id string", lambda b: b, table, checkpoint, ["hash_id"], ["event_id"]).awaitTermination()
+    return spark.read.schema("event_id long, hash_id string").parquet(table)
+
+
+@query("r2_bounded_dedup", "SELECT DISTINCT concat('k', user_id, event_type) AS hash_id FROM events")
+def bounded_dedup(spark, sf):
+    """A stream with a delay beyond its span, so every key passes once."""
+    from entityspark.streaming.ingest import bounded_dedup as dedup
+
+    out, checkpoint = scratch_path(spark), scratch_path(spark)
+    source = scratch_path(spark)
+    read(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("k"), F.col("user_id").cast("string"), F.col("event_type")).alias("hash_id")).write.parquet(source)
+    stream = dedup(spark.readStream.schema("ts timestamp, hash_id string").parquet(source), "ts", ["hash_id"], "36500 days")
+    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("ts timestamp, hash_id string").parquet(out).select("hash_id")
+
+
+@query("j2_register_links", f"WITH {REC}, r AS (SELECT record_id, CASE WHEN source = 'rues' THEN CAST(record_id // 12 AS VARCHAR) END AS register_id FROM rec) SELECT x.record_id AS a, y.record_id AS b, 'register_id' AS rule, 100 AS score FROM r x JOIN r y USING (register_id) WHERE x.record_id < y.record_id")
+def register_links(spark, sf):
+    d = normalized(spark, sf).withColumn("register_id", F.expr("case when source = 'rues' then cast(record_id div 12 as string) end"))
+    rule = next(r for r in matching.exact_rules(d) if r[0] == "register_id")
+    return matching.match_on(d, rule[1], rule[0], rule[2], guard=rule[3]).select("a", "b", "rule", "score")
+
+
+@query("j10_unmatched_customers", "SELECT c_custkey AS code FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+def unmatched_customers(spark, sf):
+    c = read(spark, sf, "customer").select(F.col("c_custkey").alias("code"), F.col("c_name").alias("account"))
+    matched = read(spark, sf, "orders").where("o_orderstatus = 'F'").join(c, F.col("o_custkey") == F.col("code")).select(F.lower("account").alias("account"))
+    return contrast.unmatched_customers(c, matched).select("code")
+
+
+@query("j15_resolve_departments", "SELECT c_custkey AS id, lower(replace(r_name, ' ', '-')) AS department, lower(replace(replace(k.n_name, ' ', '-'), '_', '-')) AS slug FROM customer JOIN nation n ON c_nationkey = n.n_nationkey JOIN region ON r_regionkey = n.n_regionkey JOIN nation k ON k.n_regionkey = r_regionkey")
+def resolve_departments(spark, sf):
+    n = read(spark, sf, "nation").join(read(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    asked = read(spark, sf, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("id"), F.initcap("r_name").alias("department"))
+    return places.resolve_departments(asked, n.select(X.normalize_place(F.col("n_name"), "slug").alias("slug"), F.col("r_name").alias("department")))
+
+
+@query("a22_contrast_kpis", """SELECT count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS confirmed, count(*) FILTER (o_orderstatus = 'P') AS probable, count(*) FILTER (o_orderstatus = 'O') AS "new",
+  round(count(*) FILTER (o_orderstatus <> 'O') * 100.0 / count(*), 1) AS coverage FROM orders""")
+def contrast_kpis(spark, sf):
+    category = F.when(F.col("o_orderstatus") == "F", "confirmed").when(F.col("o_orderstatus") == "P", "probable").otherwise("new")
+    return contrast.kpis(read(spark, sf, "orders").select(category.alias("category")))
+
+
+@query("u14_reviews", f"""WITH {NORM}, v AS (SELECT record_id, CASE WHEN trim(phone_norm) <> '' THEN 20 ELSE 0 END + CASE WHEN trim(email_norm) <> '' THEN 15 ELSE 0 END + CASE WHEN trim(key_nit) <> '' THEN 30 ELSE 0 END +
+  CASE source WHEN 'google_maps' THEN 25 WHEN 'paginas_amarillas' THEN 20 WHEN 'foursquare' THEN 15 WHEN 'serper' THEN 15 ELSE 10 END AS b FROM norm)
+  SELECT record_id, CAST(least(100, b + CASE WHEN b BETWEEN 30 AND 65 AND record_id % 3 = 0 THEN 15 ELSE 0 END) AS INT) AS validity FROM v""")
+def reviewed_validity(spark, sf):
+    d = normalized(spark, sf)
+    reviews = d.select("record_id", (F.col("record_id") % 3 == 0).alias("positive"), F.lit(0.79).alias("confidence"))
+    return quality.validity_score(d, reviews=reviews).select("record_id", "validity")
+
+
+@query("g4_pending_geocodes", f"WITH {REC} SELECT count(*) AS pending FROM rec WHERE source <> 'rues'")
+def pending_geocodes(spark, sf):
+    d = listings(spark, sf)
+    cache = d.where("source = 'rues'").select(F.col("record_id").cast("string").alias("key"), "lat", "lon")
+    return geo.pending_geocodes(d.select("record_id", F.col("record_id").cast("string").alias("code"), "address", "place", F.lit("").alias("department")), cache)

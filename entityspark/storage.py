@@ -20,11 +20,16 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new name in the shared folder."""
+    return f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: the lineage ends there, so a lost executor
     costs no more than its own tasks."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path

@@ -6,16 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from entityspark.sources.tables import insert_new
 
 
 def _stored(spark: SparkSession, table: str, like: DataFrame) -> DataFrame:
-    try:
-        return spark.read.schema(like.schema).parquet(table)
-    except AnalysisException:  # nothing is stored yet
-        return spark.createDataFrame([], like.schema)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    return spark.read.schema(like.schema).parquet(table) if there else spark.createDataFrame([], like.schema)
 
 
 def ingest(spark: SparkSession, log: str, schema: str, flatten: Callable[[DataFrame], DataFrame], table: str, checkpoint: str, key: list[str], order: list[str]) -> StreamingQuery:
