@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from entityspark.storage import materialize
 MARK = "▁"
 NONE = -(1 << 61)
 _UNKNOWN = 10.0
-_CACHE = 500_000
+_CACHE = 200_000
 
 
 class Pieces:
@@ -211,6 +212,12 @@ class Merges:
         return [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
 
 
+@lru_cache(1)
+def merges(path: str) -> Merges:
+    """One per worker process, so that later tasks find it filled."""
+    return Merges(path)
+
+
 def is_merge_model(path: str) -> bool:
     from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 
@@ -280,12 +287,18 @@ def encode_pieces(docs: DataFrame, model: str, chunk_chars: int = 16384, id_col:
     def merge(texts: list[str], first: list[bool], m: Merges) -> list[bytes]:
         """Ids of chunks: the first of a text gets a mark in front, the others start with one."""
         out: list[bytes] = []
-        for at in range(0, len(texts), 512):
-            out += m.encode([(MARK if f else "") + t.replace(" ", MARK) if t else "" for t, f in zip(texts[at:at + 512], first[at:at + 512])])
+        at = 0
+        while at < len(texts):  # some texts at a time, by their size: their units are what memory holds
+            end, size = at, 0
+            while end < len(texts) and size < 1 << 19:
+                size += len(texts[end])
+                end += 1
+            out += m.encode([(MARK if f else "") + t.replace(" ", MARK) if t else "" for t, f in zip(texts[at:end], first[at:end])])
+            at = end
         return out
 
     def short_merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Merges(model)
+        m = merges(model)
         for batch, row in rows(batches):
             n = len(batch)
             ids = merge(batch.column(1).to_pylist(), [True] * n, m)
@@ -293,7 +306,7 @@ def encode_pieces(docs: DataFrame, model: str, chunk_chars: int = 16384, id_col:
                                              ["doc_id", "row_id", "chunk", "text", "ids"])
 
     def cut_merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Merges(model)
+        m = merges(model)
         for batch, row in rows(batches):
             for i, text in enumerate(batch.column(1).to_pylist()):
                 parts = m.chunks(text, chunk_chars)
@@ -301,7 +314,7 @@ def encode_pieces(docs: DataFrame, model: str, chunk_chars: int = 16384, id_col:
                                                   pa.array(parts, pa.string())], ["doc_id", "row_id", "chunk", "text"])
 
     def long_merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Merges(model)
+        m = merges(model)
         for batch in batches:
             ids = merge(batch.column("text").to_pylist(), [c == 0 for c in batch.column("chunk").to_pylist()], m)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], [*batch.schema.names, "ids"])
