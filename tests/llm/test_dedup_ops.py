@@ -201,6 +201,12 @@ def py_halves(norm):
     return [h if k and len("".join(h)) >= 16 else None for h in (w[:k], w[-k:] if k else [])]
 
 
+def test_vectors_of_many_lengths(spark):
+    rows = [(i, [1.0] * (i % 90 + 1)) for i in range(200)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.embedding_components(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {i: (len(range(i % 90, 200, 90)) - 1, i % 90) for i in range(200)}
+
+
 def line_link(a, b):
     """Whether two normal forms are linked."""
     bits = (py_simhash(a) ^ py_simhash(b)).bit_count()
