@@ -38,10 +38,12 @@ def unescape(text: str) -> str:
 
 
 class PartVisitor:
-    """Flattens typed parts into one text: text parts as they are (escaped), others as numbered placeholders, each
-    with an attachment reference and its expanded token count."""
+    """Flattens typed parts into one text: text parts as they are (escaped), others as placeholders, numbered by their
+    turn and their place in it, so that no two of a conversation are the same, each with an attachment reference and its
+    expanded token count."""
 
-    def __init__(self) -> None:
+    def __init__(self, turn: int | None = 0) -> None:
+        self.turn = "" if turn is None else turn
         self.out: list[str] = []
         self.attachments: list[dict] = []
 
@@ -54,7 +56,7 @@ class PartVisitor:
 
     def _attach(self, kind: str, part: dict, tokens: int) -> None:
         self.attachments.append({"place": len(self.attachments), "kind": kind, "ref": str(part.get("ref") or part.get("url") or ""), "tokens": tokens})
-        self.out.append(f"<|{kind}_{len(self.attachments) - 1}|>")
+        self.out.append(f"<|{kind}_{self.turn}_{len(self.attachments) - 1}|>")
 
     def visit_image(self, part: dict) -> None:
         self._attach("image", part, int(part.get("tokens") or EXPANSION["image"]))
@@ -69,14 +71,30 @@ class PartVisitor:
         self.out.append(escape(json.dumps(part, ensure_ascii=False, sort_keys=True)))
 
 
-def flatten_parts(parts: list[dict]) -> tuple[str, list[dict]]:
+def flatten_parts(parts: list[dict], turn: int | None = 0) -> tuple[str, list[dict]]:
     """A turn's escaped body and its attachments, in order."""
-    visitor = PartVisitor()
+    visitor = PartVisitor(turn)
     for part in parts:
         visitor.visit({k: v for k, v in part.items() if v is not None})
     return "".join(visitor.out), visitor.attachments
 
 
+_PLACEHOLDER = re.compile(r"<\|([a-z]+)_(-?\d*)_(\d+)\|>")
+
+
+def read_parts(body: str, attachments: list[dict]) -> list[dict]:
+    """The typed parts of a turn's escaped body, with its attachments, in order. A placeholder can't be taken for text:
+    a `<` of a text is never written as such."""
+    out, at = [], 0
+    for m in _PLACEHOLDER.finditer(body):
+        if m.start() > at:
+            out.append({"type": "text", "text": unescape(body[at:m.start()])})
+        found = attachments[int(m[3])]
+        out.append({"type": m[1], "ref": found["ref"], "tokens": found["tokens"]})
+        at = m.end()
+    return out + ([{"type": "text", "text": unescape(body[at:])}] if at < len(body) else [])
+
+
 def turns(conversations: DataFrame, parts_col: str | None = None) -> DataFrame:
     """One formatted row per turn: conv_id, turn, role, formatted, loss_from, loss_to (the mask's span in it),
     attachments and expanded_tokens. Row-local, so one conversation may be of any length.
@@ -93,8 +111,8 @@ def turns(conversations: DataFrame, parts_col: str | None = None) -> DataFrame:
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             formatted, low, high, attached, tokens = [], [], [], [], []
-            for role, content in zip(batch.column("role").to_pylist(), batch.column("content").to_pylist()):
-                body, found = flatten_parts((content or []) if parts_col else [{"type": "text", "text": content}])
+            for turn, role, content in zip(*(batch.column(c).to_pylist() for c in ("turn", "role", "content"))):
+                body, found = flatten_parts((content or []) if parts_col else [{"type": "text", "text": content}], turn)
                 head = f"{START}{escape_role(role)}{SEP}"
                 formatted.append(f"{head}{body}{END}{SEP}")
                 low.append(len(head))

@@ -215,5 +215,13 @@ def test_typed_parts(spark):
     parts = "array<struct<type:string,text:string,ref:string,tokens:int,pages:int>>"
     rows = [(1, 0, "user", [("text", "look <", None, None, None), ("image", None, "a.png", None, None), ("document", None, "b.pdf", None, 3), ("audio", None, "c.wav", 12, None), ("video", None, "d", None, None)]), (1, 1, "user", None)]
     r = chat.turns(spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {parts}"), "parts").orderBy("turn").collect()
-    assert "look \\l<|image_0|><|document_1|><|audio_2|>" in r[0].formatted and [a.ref for a in r[0].attachments] == ["a.png", "b.pdf", "c.wav"]
+    assert "look \\l<|image_0_0|><|document_0_1|><|audio_0_2|>" in r[0].formatted and [a.ref for a in r[0].attachments] == ["a.png", "b.pdf", "c.wav"]
     assert r[0].expanded_tokens == 576 + 3 * 1024 + 12 and r[1].formatted.endswith("\n<|im_end|>\n")
+
+
+def test_typed_parts_read_back():
+    parts = [{"type": "text", "text": "a <|image_3_0|> \\l"}, {"type": "image", "ref": "x.png", "tokens": 5}, {"type": "audio", "ref": "y.wav", "tokens": 7}, {"type": "text", "text": "<|im_end|>"}]
+    body, found = chat.flatten_parts(parts, 3)
+    assert chat.read_parts(body, found) == parts and body.count("<|image_3_0|>") == 1
+    other, _ = chat.flatten_parts(parts, 4)
+    assert not set(chat._PLACEHOLDER.findall(body)) & set(chat._PLACEHOLDER.findall(other))
