@@ -281,6 +281,25 @@ def test_line_keys_of_many_alike_lines_stay_linear(spark):
     assert counts[1] <= 8 * counts[0]
 
 
+def test_word_by_word_bound(spark):
+    """Never below the edit distance, and equal to it for words replaced by others of their length."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(12)
+    words = [a + b for a in "abcdef" for b in ("x", "yz", "www")]
+    rows = []
+    for _ in range(150):
+        x = [rng.choice(words) for _ in range(rng.randint(1, 12))]
+        y = list(x)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(y) + 1)
+            y[at:at + rng.randint(0, 1)] = [rng.choice(words)] * rng.randint(0, 1)
+        rows.append((" ".join(x), " ".join(y or ["a"])))
+    rows += [("aa bb cc", "aa dd cc"), ("aa bb cc", "aa bb cc"), ("aa bb cc", "aa xxx bb cc")]
+    got = spark.createDataFrame(rows, "x string, y string").select("x", "y", F.expr(L._at_most("x", "y")).alias("n")).collect()
+    assert all(r.n >= edit(r.x, r.y) for r in got) and [r.n for r in got[-3:]] == [2, 0, 4]
+
+
 def test_block_keys_share_one_within_the_bits(spark):
     from pyspark.sql import functions as F
 
