@@ -12,13 +12,13 @@ from entityspark.operators.records import first_per_key
 
 def read_customers(spark, path: str, names: dict[str, list[str]] | None = None) -> DataFrame:
     """A customer sheet saved as CSV: all strings, trimmed headers, the first present of alternative column names,
-    missing columns empty, seq in file order."""
+    missing columns empty. seq orders the rows as the files have them: by name, then block, then row of the block."""
     d = spark.read.csv(path, header=True, inferSchema=False)
     have = {c.strip(): c for c in d.columns}
     pick = lambda options: F.coalesce(*(F.col(f"`{have[o]}`") for o in options if o in have), F.lit(""))
     names = names or {"code": ["Código de cliente"], "account": ["Nombre de la cuenta"], "address": ["Dirección"], "place": ["Población: Población", "Población"],
                       "department": ["Departamento (Texto)", "Departamento"], "mobile": ["Móvil"]}
-    return d.select(*(pick(o).alias(n) for n, o in names.items()), F.monotonically_increasing_id().alias("seq"))
+    return d.select(*(pick(o).alias(n) for n, o in names.items()), F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("seq"))
 
 
 def dedup_customers(c: DataFrame) -> DataFrame:
@@ -66,9 +66,9 @@ def best_match(prospects: DataFrame, customers: DataFrame, sure: float = 85, may
     most = [F.length(f"{a}.s") - sum(F.greatest(F.lit(0), F.col(f"{a}.{n}") - F.col(f"{b}.{n}")) for n in counts) for a, b in ("xy", "yx")]
     j = _meet(p.select("k", "s", *counts).distinct(), names).where(200 * F.least(*most) >= maybe * (F.length("x.s") + F.length("y.s")))
     j = j.select("x.k", "x.s", "y.customer", token_sort_column("x.s", "y.s").alias("score")).where(F.col("score") >= maybe)
-    j = j.groupBy("k", "s").agg(F.max_by(F.struct("customer", "score"), F.struct("score", -F.col("customer.seq"))).alias("m")).select("k", "s", "m.customer.*", "m.score")
+    j = j.groupBy("k", "s").agg(F.min_by(F.struct("customer", "score"), F.struct(-F.col("score"), "customer.seq")).alias("m")).select("k", "s", "m.customer.*", "m.score")
     j = p.select("prospect_id", "pa", "k", "s").join(j, ["k", "s"])
-    best = j.groupBy("prospect_id").agg(F.max_by(F.struct("code", "account", "score", "pa", "ca"), F.struct("score", -F.col("seq"))).alias("m")).select("prospect_id", "m.*")
+    best = j.groupBy("prospect_id").agg(F.min_by(F.struct("code", "account", "score", "pa", "ca"), F.struct(-F.col("score"), "seq")).alias("m")).select("prospect_id", "m.*")
     best = best.withColumn("address_score", partial_column("pa", "ca"))
     category = F.when(F.col("score") >= sure, "confirmed").when(F.col("address_score") >= address, "probable").otherwise("new")
     best = best.withColumn("category", category)
