@@ -33,9 +33,11 @@ def docs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
-def hinted(keys: DataFrame, most: int = 1_000_000) -> DataFrame:
-    """Written keys for the small side of a join: broadcast if counted to be at most so many, else merged."""
-    return keys.hint("broadcast" if keys.count() <= most else "merge")
+def hinted(keys: DataFrame, most: int = 1_000_000, most_bytes: int = 64 << 20) -> DataFrame:
+    """Written keys for the small side of a join: broadcast if counted to be at most so many and, by the size of their
+    files, so many bytes; else merged."""
+    size = int(keys._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return keys.hint("broadcast" if size <= most_bytes and keys.count() <= most else "merge")
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

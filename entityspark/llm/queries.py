@@ -88,7 +88,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from entityspark.llm.minhash import minhash_components
 
-    return minhash_components(read(spark, sf_dir, "documents"), k=3, percent=85)
+    return minhash_components(read(spark, sf_dir, "documents"), k=3, percent=85).drop("text_id")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,5 +101,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_packing, op2_line_dedup, op3_suffix_dedup, op4_embedding_dedup, op5_language_id, op6_sentence_pieces, op7_chat_formatting, op8_token_counts, op9_minhash, op10_quality_rules)}
 
 
+_REACH = """, both_ AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+  reach(n, m) AS (SELECT a, b FROM both_ UNION SELECT reach.n, both_.b FROM reach JOIN both_ ON reach.m = both_.a), least_ AS (SELECT n, min(m) AS m FROM reach GROUP BY n)"""
+
+VECTORS = f"""WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+  links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id < y.vec_id AND len(x.e) = len(y.e) WHERE list_cosine_similarity(x.e, y.e) >= 0.95){_REACH}, deg AS (SELECT a, count(*) AS n FROM both_ GROUP BY a)
+  SELECT vec_id, coalesce(d.n, 0) AS n_links, least(vec_id, coalesce(l.m, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(l.m, vec_id)) AS kept FROM embeddings LEFT JOIN least_ l ON l.n = vec_id LEFT JOIN deg d ON d.a = vec_id"""
+
+_ESCAPED = "replace(replace({}, chr(92), chr(92) || chr(92)), '<', chr(92) || 'l')"
+CHAT = f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+  u AS (SELECT *, {_ESCAPED.format('text')} AS body, replace({_ESCAPED.format('role')}, chr(10), chr(92) || 'n') AS head FROM t)
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, body)) AS turns_sha256, CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, body) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(sum(length(head) + length(body) + 24) AS BIGINT) AS formatted_chars FROM u GROUP BY conv_id"""
+
+#: Three-word shingles of the ASCII-lower-cased words, linked where 100 * intersection >= 85 * union.
+NEAR = f"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+  s AS (SELECT doc_id, list_distinct(CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM w),
+  e AS (SELECT doc_id, hash(g) AS same, len(g) AS n FROM s), rep AS (SELECT min(doc_id) AS doc_id, same FROM e WHERE n > 0 GROUP BY same), x AS (SELECT doc_id, n, unnest(g) AS h FROM s JOIN rep USING (doc_id) JOIN e USING (doc_id)),
+  pairs AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c, min(p.n + q.n) AS t FROM x p JOIN x q ON p.h = q.h AND p.doc_id < q.doc_id GROUP BY 1, 2),
+  links AS (SELECT a, b FROM pairs WHERE 100 * c >= 85 * (t - c) UNION SELECT rep.doc_id, e.doc_id FROM e JOIN rep USING (same) WHERE e.n > 0 AND rep.doc_id < e.doc_id){_REACH}
+  SELECT doc_id, e.n AS n_shingles, least(doc_id, coalesce(l.m, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(l.m, doc_id)) AS kept FROM e LEFT JOIN least_ l ON l.n = doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others need tokenizers, models, xxhash64 or byte windows, which SQL lacks or is too slow for."""
+    return {"op4_embedding_dedup": VECTORS, "op7_chat_formatting": CHAT, "op9_minhash": NEAR}

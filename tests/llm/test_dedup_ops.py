@@ -314,3 +314,26 @@ def test_block_keys_share_one_within_the_bits(spark):
     d = spark.createDataFrame(rows, "a long, b long")
     for n in (10, 10**8, 10**11):
         assert d.where(F.size(F.array_intersect(L.block_keys("a", n), L.block_keys("b", n))) == 0).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op4_embedding_dedup", "op7_chat_formatting", "op9_minhash"])
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    from entityspark.llm import queries as Q
+    from tests.test_queries import rows
+
+    sf, con = "/root/testdata/sf0.001", duckdb.connect()
+    for t in ("documents", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    assert rows(Q.queries()[name](spark, sf).toPandas()) == rows(con.execute(Q.oracle_sql()[name]).df())
+
+
+def test_joins_are_merged_beyond_the_bound(spark):
+    from entityspark.llm.common import hinted
+    from entityspark.storage import materialize
+
+    keys = materialize(spark.range(100))
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString().lower()
+    other = spark.range(10**7)
+    assert "strategy=broadcast" in plan(other.join(hinted(keys), "id")) and "strategy=merge" in plan(other.join(hinted(keys, most=99), "id")) and "strategy=merge" in plan(other.join(hinted(keys, most_bytes=10), "id"))
