@@ -36,7 +36,7 @@ def docs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def hinted(keys: DataFrame, most: int = 1_000_000, most_bytes: int = 64 << 20) -> DataFrame:
     """Written keys for the small side of a join: broadcast if counted to be at most so many and, by the size of their
     files, so many bytes; else merged."""
-    size = int(keys._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(keys._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return keys.hint("broadcast" if size <= most_bytes and keys.count() <= most else "merge")
 
 
