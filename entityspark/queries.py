@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entityspark.functions import ratios
 from entityspark.functions import scoring as S
 from entityspark.functions import text as X
 from entityspark.operators import contrast, coverage, geo, golden, matching, places, quality, records, reports
@@ -129,7 +130,12 @@ def resolved_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve(listings(spark, sf_dir)).entities
 
 
-@query("resolution", None)
+RESOLUTION = f"""WITH RECURSIVE {ENTITIES}, u AS (SELECT c.entity, count(*) AS n FROM (SELECT DISTINCT a, b FROM exact_) m JOIN clustered c ON c.record_id = m.a GROUP BY c.entity)
+  SELECT e.entity, nit, name, name_norm, place, address, address_norm, lat, lon, phone, email, main_source, sources, n_sources, quality, approved, coalesce(u.n, 0) AS n_matches, substring(sha256(concat('e', e.entity)), 1, 16) AS public_id
+  FROM entities e LEFT JOIN u ON u.entity = e.entity WHERE NOT (NOT approved AND sources = ['rues'])"""
+
+
+@query("resolution", RESOLUTION)
 def resolution(spark, sf):
     """The whole job, review links and inactive register-only entities included."""
     return resolved_entities(spark, sf)
@@ -245,6 +251,14 @@ def t29(spark, sf):
     return d.join(other, "record_id").select(F.col("record_id").alias("a"), "b", F.round(X.trigram_similarity(F.col("name_norm"), F.col("o")), 6).alias("s"))
 
 
+@query("t30_fuzzy_ratios")
+def fuzzy_ratios(spark, sf):
+    """Every listing's name against the next one's, by all four ratios."""
+    d = normalized(spark, sf).select("record_id", "name_norm")
+    j = d.join(d.select((F.col("record_id") - 1).alias("record_id"), F.col("name_norm").alias("o")), "record_id")
+    return j.select("record_id", *(F.round(f("name_norm", "o"), 6).alias(n) for n, f in (("ratio", ratios.ratio_column), ("token_sort", ratios.token_sort_column), ("partial", ratios.partial_column), ("weighted", ratios.wratio_column))))
+
+
 @query("t31_g1_distance", f"""WITH {REC} SELECT record_id, round(acos(greatest(-1.0, least(1.0, sin(radians(lat)) * sin(radians(4.6)) + cos(radians(lat)) * cos(radians(4.6)) * cos(radians(lon + 74.1))))) * 6371000, 1) AS m,
   round(2 * 6371 * asin(sqrt(least(1.0, pow(sin(radians(4.6 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(4.6)) * pow(sin(radians(-74.1 - lon) / 2), 2)))), 4) AS km, lat BETWEEN -4.2 AND 13 AND lon BETWEEN -82 AND -67 AS inside FROM rec""")
 def t31(spark, sf):
