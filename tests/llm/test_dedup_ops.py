@@ -212,7 +212,7 @@ def line_link(a, b):
     bits = (py_simhash(a) ^ py_simhash(b)).bit_count()
     same = any(x is not None and x == y for x, y in zip(py_halves(a), py_halves(b)))
     most = int(max(len(a), len(b)) * 0.2 + 1e-9)
-    return (bits <= 3 or bits <= 14 and same) and abs(len(a) - len(b)) <= most and edit(a, b) <= most
+    return (bits <= 3 or bits <= 10 and same) and abs(len(a) - len(b)) <= most and edit(a, b) <= most
 
 
 def test_lines_equal_brute_force(spark):
@@ -236,7 +236,7 @@ def test_lines_equal_brute_force(spark):
 
     def candidates(a, b):
         bits = (sig[a] ^ sig[b]).bit_count()
-        return bits <= 3 or bits <= 14 and any(x is not None and x == y for x, y in zip(half[a], half[b]))
+        return bits <= 3 or bits <= 10 and any(x is not None and x == y for x, y in zip(half[a], half[b]))
 
     alike = [(a, b) for a, b in combinations(norms, 2) if abs(len(a) - len(b)) <= 0.2 * max(len(a), len(b)) and edit(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9)]
     links = [e for e in alike if candidates(*e)]
