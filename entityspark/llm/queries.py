@@ -39,7 +39,7 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
     n_spans = F.coalesce(F.size("spans"), F.lit(0))
     return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
-                      F.greatest(n_spans, F.lit(0)).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.decode("kept", "UTF-8").alias("text"))
+                      F.greatest(n_spans, F.lit(0)).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
