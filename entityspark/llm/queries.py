@@ -97,8 +97,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from entityspark.llm.whitening import whiten_vectors
+
+    return whiten_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from entityspark.llm.personal_data import personal_spans, span_digests
+
+    return span_digests(personal_spans(read(spark, sf_dir, "documents")))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from entityspark.llm.spelling import spelling_variants
+
+    return spelling_variants(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op3_suffix_dedup, op4_embedding_dedup, op5_language_id, op6_sentence_pieces, op7_chat_formatting, op8_token_counts, op9_minhash, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_packing, op2_line_dedup, op3_suffix_dedup, op4_embedding_dedup, op5_language_id, op6_sentence_pieces, op7_chat_formatting, op8_token_counts, op9_minhash, op10_quality_rules,
+                                   op11_embedding_whitening, op12_personal_data, op13_spelling_variants)}
 
 
 _REACH = """, both_ AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
@@ -123,6 +142,23 @@ NEAR = f"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array
   SELECT doc_id, e.n AS n_shingles, least(doc_id, coalesce(l.m, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(l.m, doc_id)) AS kept FROM e LEFT JOIN least_ l ON l.n = doc_id"""
 
 
+#: The table of the CRC-32 polynomial is built by its rule; words of one length meet by a position left out of both,
+#: words of neighbouring lengths by a position left out of the longer.
+VARIANTS = """WITH RECURSIVE bits(n, c, k) AS (SELECT range, range, 0 FROM range(256) UNION ALL SELECT n, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+  crc AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8),
+  runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r FROM documents),
+  keyed AS (SELECT r, hex(encode(doc_id || ':' || r)) AS x FROM runs WHERE length(r) >= 7),
+  hashed AS (SELECT r, xor(list_reduce(list_concat([4294967295], list_transform(range(CAST(length(x) / 2 AS BIGINT)), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h FROM keyed, crc),
+  words AS (SELECT CASE WHEN h % 31 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word FROM hashed),
+  w AS (SELECT word, count(*) AS n FROM words WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+  gone AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS g FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+  pairs AS (SELECT x.word AS a, y.word AS b, y.n FROM gone x JOIN gone y ON x.g = y.g AND x.i = y.i AND x.word <> y.word UNION SELECT gone.word, w.word, w.n FROM gone JOIN w ON g = w.word UNION SELECT w.word, gone.word, gone.n FROM gone JOIN w ON g = w.word),
+  near AS (SELECT a, count(*) AS n_near, min({'m': -n, 'b': b}) AS best FROM pairs GROUP BY a),
+  f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.m >= 10 * n THEN best.b END AS form, CASE WHEN -best.m >= 10 * n THEN -best.m END AS form_n FROM w LEFT JOIN near ON a = word),
+  up(word, root, depth) AS (SELECT word, word, 0 FROM f UNION ALL SELECT up.word, f.form, depth + 1 FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL)
+  SELECT word, form, (SELECT max_by(root, depth) FROM up WHERE up.word = f.word) AS root, n, n_near, form_n FROM f"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """The others need tokenizers, models, xxhash64 or byte windows, which SQL lacks or is too slow for."""
-    return {"op4_embedding_dedup": VECTORS, "op7_chat_formatting": CHAT, "op9_minhash": NEAR}
+    """The others need tokenizers, models, eigenvectors, xxhash64 or byte windows, which SQL lacks or is too slow for."""
+    return {"op4_embedding_dedup": VECTORS, "op7_chat_formatting": CHAT, "op9_minhash": NEAR, "op13_spelling_variants": VARIANTS}
