@@ -1,76 +1,139 @@
-"""Fuzzy string ratios (0 to 100), for which Spark has no built-in: normalised insert-and-delete similarity."""
+"""Fuzzy string ratios (0 to 100) as column expressions: normalised insert-and-delete similarity, for which Spark has no
+built-in. Longest common subsequences are found bit-parallel: the shorter string's positions are bits of integers, and
+each letter of the other costs one sum."""
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+#: Bits of a row that one integer holds; sums of two rows and a carry stay below 2^63.
+WORD = 62
+_FULL = (1 << WORD) - 1
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def letters(s: Column) -> Column:
+    return F.filter(F.split(s, ""), lambda c: c != "")
+
+
+def _bits(n: Column) -> Column:
+    """n ones, n up to WORD."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), n.cast("int")) - 1
+
+
+def letter_masks(s: Column) -> Column:
+    """For each letter of a string the bits of its places, WORD places to an integer."""
+    def of(chars: Column) -> Column:
+        step = lambda acc, c, d: F.struct((acc["bit"] * 2).alias("bit"), (acc["sum"] + F.when(c == d, acc["bit"]).otherwise(F.lit(0).cast("long"))).alias("sum"))
+        zero = F.struct(F.lit(1).cast("long").alias("bit"), F.lit(0).cast("long").alias("sum"))
+        word = lambda w, d: F.aggregate(F.slice(chars, w * WORD + 1, F.lit(WORD)), zero, lambda acc, c: step(acc, c, d), lambda acc: acc["sum"])
+        words = F.sequence(F.lit(0), F.floor((F.size(chars) - 1) / WORD).cast("int"))
+        return _let(F.array_distinct(chars), lambda kinds: F.map_from_arrays(kinds, F.transform(kinds, lambda d: F.transform(words, lambda w: word(w, d)))))
+
+    return F.when(F.length(s) > 0, _let(letters(s), of))
+
+
+def common(n: Column, masks: Column, others: Column) -> Column:
+    """Length of the longest common subsequence of a string of n > 0 letters, given by its masks, and an array of letters."""
+    hit = lambda c: F.try_element_at(masks, c)
+
+    def one(row: Column, c: Column) -> Column:
+        m = F.coalesce(hit(c)[0], F.lit(0).cast("long"))
+        return (row + row.bitwiseAND(m)).bitwiseOR(row.bitwiseAND(F.bitwise_not(m))).bitwiseAND(_bits(n))
+
+    words = F.floor((n - 1) / WORD).cast("int") + 1
+    full = F.transform(F.sequence(F.lit(0), words - 1), lambda w: _bits(F.least(F.lit(WORD), n - w * WORD)))
+
+    def step(row: Column, m: Column, full: Column) -> Column:
+        def word(acc: Column, w: Column) -> Column:
+            s = row[w] + row[w].bitwiseAND(m[w]) + acc["carry"]
+            new = s.bitwiseOR(row[w].bitwiseAND(F.bitwise_not(m[w]))).bitwiseAND(full[w])
+            return F.struct(F.shiftright(s, WORD).alias("carry"), F.concat(acc["row"], F.array(new)).alias("row"))
 
-def lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, bit-parallel over a."""
-    where: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        where[ch] = where.get(ch, 0) | 1 << i
-    row = full = (1 << len(a)) - 1
-    for ch in b:
-        hit = row & where.get(ch, 0)
-        row = (row + hit | row - hit) & full
-    return len(a) - row.bit_count()
+        start = F.struct(F.lit(0).cast("long").alias("carry"), F.array().cast("array<bigint>").alias("row"))
+        return F.aggregate(F.sequence(F.lit(0), words - 1), start, word, lambda acc: acc["row"])
 
+    many = _let(full, lambda f: F.aggregate(others, f, lambda row, c: F.when(hit(c).isNull(), row).otherwise(step(row, hit(c), f)),
+                                            lambda row: F.aggregate(row, n, lambda left, x: left - F.bit_count(x))))
+    return F.when(n <= WORD, n - F.bit_count(F.aggregate(others, _bits(n), one))).otherwise(many)
 
-def ratio(a: str, b: str) -> float:
-    return 100.0 if not a and not b else 200.0 * lcs(a, b) / (len(a) + len(b))
 
+def lcs(a: Column, b: Column) -> Column:
+    short, long = F.when(F.length(a) <= F.length(b), a).otherwise(b), F.when(F.length(a) <= F.length(b), b).otherwise(a)
+    return F.when(F.length(short) == 0, 0).otherwise(_let(letter_masks(short), lambda m: common(F.length(short), m, letters(long))))
 
-def token_sort(a: str, b: str) -> float:
-    return ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
 
+def _scaled(both: Column, total: Column) -> Column:
+    return F.when(total == 0, 100.0).otherwise(both * 200.0 / F.greatest(total, F.lit(1)))
 
-def partial(a: str, b: str) -> float:
+
+def ratio(a: Column, b: Column) -> Column:
+    return F.when(a.isNotNull() & b.isNotNull(), _scaled(lcs(a, b), F.length(a) + F.length(b)))
+
+
+def tokens(s: Column) -> Column:
+    return F.filter(F.split(s, r"(?U)\s+"), lambda w: w != "")
+
+
+def sorted_tokens(s: Column) -> Column:
+    return F.array_join(F.array_sort(tokens(s)), " ")
+
+
+def token_sort(a: Column, b: Column) -> Column:
+    return _let(F.struct(sorted_tokens(a).alias("a"), sorted_tokens(b).alias("b")), lambda t: ratio(t["a"], t["b"]))
+
+
+def partial(a: Column, b: Column) -> Column:
     """Best ratio of the shorter string against windows of the longer, those cut off at its ends included."""
-    short, long = (a, b) if len(a) <= len(b) else (b, a)
-    if not short:
-        return 100.0 if not long else 0.0
-    n, best = len(short), 0.0
-    for start in range(1 - n, len(long)):
-        window = long[max(0, start):start + n]
-        best = max(best, ratio(short, window))
-        if best == 100.0:
-            break
-    return best
-
-
-def token_set(a: str, b: str) -> float:
-    x, y = set(a.split()), set(b.split())
-    if not x or not y:
-        return 0.0
-    both, only_x, only_y = (" ".join(sorted(s)) for s in (x & y, x - y, y - x))
-    if both and (not only_x or not only_y):
-        return 100.0
-    xs, ys = f"{both} {only_x}".strip(), f"{both} {only_y}".strip()
-    best = ratio(xs, ys)
-    return max(best, ratio(both, xs), ratio(both, ys)) if both else best
-
-
-def wratio(a: str, b: str) -> float:
-    """The weighted best of the plain, partial and token forms, by how much the lengths differ."""
-    if not a or not b:
-        return 0.0
-    share = max(len(a), len(b)) / min(len(a), len(b))
-    best = ratio(a, b)
-    if share < 1.5:
-        return max(best, 0.95 * max(token_sort(a, b), token_set(a, b)))
-    scale = 0.9 if share <= 8 else 0.6
-    best = max(best, scale * partial(a, b))
-    return max(best, 0.95 * scale * partial(" ".join(sorted(a.split())), " ".join(sorted(b.split()))))
+    first = F.length(a) <= F.length(b)
+    short, long = F.when(first, a).otherwise(b), F.when(first, b).otherwise(a)
+    n = F.length(short)
+
+    def windows(t: Column) -> Column:
+        def score(at: Column) -> Column:
+            size = F.least(n + at, F.size(t["long"]), n, F.size(t["long"]) - at)
+            return _scaled(common(n, t["masks"], F.slice(t["long"], F.greatest(at, F.lit(0)) + 1, size)), n + size)
+
+        return F.array_max(F.transform(F.sequence(1 - n, F.length(long) - 1), score))
 
+    found = _let(F.struct(letter_masks(short).alias("masks"), letters(long).alias("long")), windows)
+    return F.when(a.isNotNull() & b.isNotNull(), F.when(n > 0, found).when(F.length(long) == 0, 100.0).otherwise(0.0))
 
-def _column(f):
-    def over(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None or y is None else f(x, y) for x, y in zip(a, b)], dtype="float64")
 
-    return F.pandas_udf(over, T.DoubleType())
+def token_set(a: Column, b: Column) -> Column:
+    """The tokens that both have, in order, against these with the rest of either side, and these two: the best ratio."""
+    def of(t: Column) -> Column:
+        joined = lambda x: F.array_join(F.array_sort(x), " ")
+        both, xs, ys = joined(F.array_intersect(t["x"], t["y"])), joined(F.array_except(t["x"], t["y"])), joined(F.array_except(t["y"], t["x"]))
+        return _let(F.struct(both.alias("both"), F.trim(F.concat_ws(" ", both, xs)).alias("x"), F.trim(F.concat_ws(" ", both, ys)).alias("y"), (xs == "").alias("in_y"), (ys == "").alias("in_x")), best)
 
+    def best(t: Column) -> Column:
+        n = F.length(t["both"])
+        prefix = lambda c: _scaled(n, n + F.length(t[c]))
+        return F.when((n > 0) & (t["in_x"] | t["in_y"]), 100.0).when(n > 0, F.greatest(ratio(t["x"], t["y"]), prefix("x"), prefix("y"))).otherwise(ratio(t["x"], t["y"]))
 
-ratio_column, token_sort_column, partial_column, wratio_column = _column(ratio), _column(token_sort), _column(partial), _column(wratio)
+    sets = F.struct(F.array_distinct(tokens(a)).alias("x"), F.array_distinct(tokens(b)).alias("y"))
+    return _let(sets, lambda t: F.when((F.size(t["x"]) > 0) & (F.size(t["y"]) > 0), of(t)).when(a.isNotNull() & b.isNotNull(), 0.0))
+
+
+def wratio(a: Column, b: Column) -> Column:
+    """The weighted best of the plain, partial and token forms, by how much the lengths differ."""
+    share = F.greatest(F.length(a), F.length(b)) / F.greatest(F.least(F.length(a), F.length(b)), F.lit(1))
+    scale = F.when(share <= 8, 0.9).otherwise(0.6)
+    near = F.greatest(ratio(a, b), 0.95 * token_sort(a, b), 0.95 * token_set(a, b))
+    far = F.greatest(ratio(a, b), scale * partial(a, b), 0.95 * scale * partial(sorted_tokens(a), sorted_tokens(b)))
+    return F.when((a == "") | (b == ""), 0.0).when(share < 1.5, near).when(share.isNotNull(), far)
+
+
+def slug_ratio(a: Column, b: Column) -> Column:
+    """wratio() of strings of one token each, whose token forms are the plain ones."""
+    share = F.greatest(F.length(a), F.length(b)) / F.greatest(F.least(F.length(a), F.length(b)), F.lit(1))
+    scale = F.when(share <= 8, 0.9).otherwise(0.6)
+    return F.when((a == "") | (b == ""), 0.0).when(share < 1.5, ratio(a, b)).when(share.isNotNull(), F.greatest(ratio(a, b), scale * partial(a, b)))

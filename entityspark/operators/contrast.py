@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityspark.functions.ratios import partial_column, token_sort_column
+from entityspark.functions.ratios import partial, ratio, sorted_tokens
 from entityspark.functions.text import normalize_address_upper, normalize_name_upper, normalize_place
+from entityspark.operators.best import best_candidates, common_letters, sliced_join, with_letter_counts
 from entityspark.operators.records import first_per_key
+from entityspark.storage import materialize
 
 
 def read_customers(spark, path: str, names: dict[str, list[str]] | None = None) -> DataFrame:
@@ -26,51 +28,33 @@ def dedup_customers(c: DataFrame) -> DataFrame:
 
 
 #: Names of either side that meet in one task's key at most, about.
-SLICE = 2000
-_LETTERS = " AEIOUNRSLTCDM"
-
-
-def _sorted_names(d: DataFrame, name: str) -> DataFrame:
-    """Adds s, the name's tokens in order, and the counts of some of its letters."""
-    d = d.withColumn("s", F.array_join(F.array_sort(F.filter(F.split(name, r"\s+"), lambda w: w != "")), " "))
-    return d.withColumns({f"n{i}": F.length("s") - F.length(F.replace("s", F.lit(x), F.lit(""))) for i, x in enumerate(_LETTERS)})
-
-
-def _meet(p: DataFrame, c: DataFrame) -> DataFrame:
-    """Pairs of rows with equal k under x and y: a place's rows are sliced on both sides, and every slice meets every
-    other under a key of its own, so that no key grows with its place."""
-    for name, d in (("i", p), ("j", c)):
-        n = d.groupBy("k").agg(F.ceil(F.count("*") / SLICE).cast("int").alias(name))
-        p, c = p.join(n, "k"), c.join(n, "k")
-    own = lambda m: F.pmod(F.xxhash64("s"), F.col(m)).cast("int")
-    every = lambda m: F.explode(F.sequence(F.lit(0), F.col(m) - 1))
-    p = p.withColumn("u", own("i")).withColumn("v", every("j"))
-    c = c.withColumn("v", own("j")).withColumn("u", every("i"))
-    return p.alias("x").join(c.alias("y"), F.expr("x.k = y.k and x.u = y.u and x.v = y.v"))
+SLICE = 500
 
 
 def best_match(prospects: DataFrame, customers: DataFrame, sure: float = 85, maybe: float = 70, address: float = 60) -> DataFrame:
     """prospect_id, code, account, score, category: per prospect the customer of its place with the best token-sort
-    ratio (the first in seq on ties): confirmed from sure on, probable from maybe on if the addresses agree too.
+    ratio (the first in seq on ties): confirmed from sure on, probable from maybe on if the addresses agree too. Rows
+    without a name match nothing; addresses agree only where both sides have one.
 
     Names that are equal but for the order of their tokens have equal ratios: of a place they meet once, customers as
-    the first in seq. All of a place's prospects meet all its customers, slice by slice. A ratio is at most 200 * common
-    characters / (both lengths), so pairs that cannot reach `maybe` by their lengths and the counts of some letters are
-    left out before the scorer runs, which changes no category but `new`.
+    the first in seq. Equal strings are settled by a plain join. For the rest, a ratio is at most 200 * common
+    characters / (both lengths), which whole-stage code works out from counts of letters; the candidate of the highest
+    bound is scored first, then only those whose bound reaches that score.
     """
     p = prospects.select("prospect_id", normalize_name_upper(F.col("name")).alias("pn"), normalize_address_upper(F.col("address")).alias("pa"), normalize_place(F.col("place"), "upper").alias("k"))
     c = customers.select("code", "account", "seq", normalize_name_upper(F.col("account")).alias("cn"), normalize_address_upper(F.col("address")).alias("ca"), normalize_place(F.col("place"), "upper").alias("k"))
-    p, c = _sorted_names(p, "pn"), _sorted_names(c, "cn")
-    counts = [f"n{i}" for i in range(len(_LETTERS))]
-    names = c.groupBy("k", "s", *counts).agg(F.min_by(F.struct("code", "account", "ca", "seq"), "seq").alias("customer"))
-    most = [F.length(f"{a}.s") - sum(F.greatest(F.lit(0), F.col(f"{a}.{n}") - F.col(f"{b}.{n}")) for n in counts) for a, b in ("xy", "yx")]
-    j = _meet(p.select("k", "s", *counts).distinct(), names).where(200 * F.least(*most) >= maybe * (F.length("x.s") + F.length("y.s")))
-    j = j.select("x.k", "x.s", "y.customer", token_sort_column("x.s", "y.s").alias("score")).where(F.col("score") >= maybe)
-    j = j.groupBy("k", "s").agg(F.min_by(F.struct("customer", "score"), F.struct(-F.col("score"), "customer.seq")).alias("m")).select("k", "s", "m.customer.*", "m.score")
+    p, c = (d.withColumn("s", sorted_tokens(F.col(n))).where("s != ''") for d, n in ((p, "pn"), (c, "cn")))
+    names = materialize(with_letter_counts(c.groupBy("k", "s").agg(F.min_by(F.struct("code", "account", "ca", "seq"), "seq").alias("customer")), "s"))
+    mine = p.select("k", "s").distinct()
+    equal = mine.join(names.select("k", "s", "customer"), ["k", "s"]).select("k", "s", "customer", F.lit(100.0).alias("score"))
+    rest = materialize(with_letter_counts(mine.join(names.select("k", "s"), ["k", "s"], "left_anti"), "s"))
+    bound = common_letters() * 200.0 / (F.length("x.s") + F.length("y.s"))
+    found = best_candidates(rest, lambda rows: sliced_join(rows, names, SLICE), ["k", "s"], {"seq": F.col("y.customer.seq"), "s": F.col("y.s"), "customer": F.col("y.customer")}, bound, lambda t: ratio(t["s"], t["c"]["s"]), "seq", maybe)
+    j = equal.unionAll(found.select("k", "s", "candidate.customer", "score")).select("k", "s", "customer.*", "score")
     j = p.select("prospect_id", "pa", "k", "s").join(j, ["k", "s"])
     best = j.groupBy("prospect_id").agg(F.min_by(F.struct("code", "account", "score", "pa", "ca"), F.struct(-F.col("score"), "seq")).alias("m")).select("prospect_id", "m.*")
-    best = best.withColumn("address_score", partial_column("pa", "ca"))
-    category = F.when(F.col("score") >= sure, "confirmed").when(F.col("address_score") >= address, "probable").otherwise("new")
+    near = F.when((F.col("pa") != "") & (F.col("ca") != "") & (F.col("score") < sure), partial(F.col("pa"), F.col("ca")) >= address)
+    category = F.when(F.col("score") >= sure, "confirmed").when(near, "probable").otherwise("new")
     best = best.withColumn("category", category)
     hit = F.col("category") != "new"
     best = best.select("prospect_id", *(F.when(hit, F.col(c)).alias(c) for c in ("code", "account")), F.col("score"), "category")

@@ -251,12 +251,35 @@ def t29(spark, sf):
     return d.join(other, "record_id").select(F.col("record_id").alias("a"), "b", F.round(X.trigram_similarity(F.col("name_norm"), F.col("o")), 6).alias("s"))
 
 
-@query("t30_fuzzy_ratios")
+def _fuzzy_sql(pairs: str) -> str:
+    """CTEs over pairs (id, x, y): measured has for the forms plain, sorted and set (tokens in order; common tokens and
+    the rest of either side) the ratio and the best window's ratio. Places of the shorter string are bits of a HUGEINT."""
+    mask = "list_sum(list_transform(range(1, length(s) + 1), lambda i: CASE WHEN substr(s, i, 1) = c THEN CAST(1 AS HUGEINT) << CAST(i - 1 AS INT) ELSE CAST(0 AS HUGEINT) END))"
+    full = "((CAST(1 AS HUGEINT) << CAST(n AS INT)) - 1)"
+    lcs = lambda hits: f"(n - CAST(bit_count(list_reduce(list_concat([{full}], {hits}), lambda r, m: ((r + (r & m)) | (r - (r & m))) & {full})) AS INT))"
+    split = lambda v: f"list_filter(regexp_split_to_array({v}, '\\s+'), lambda w: w <> '')"
+    joined = lambda v: f"array_to_string(list_sort({v}), ' ')"
+    size = "least(n + o, len(hits), n, len(hits) - o)"
+    return f"""{pairs}, tok AS (SELECT id, x, y, {split('x')} AS tx, {split('y')} AS ty FROM pairs),
+  sets AS (SELECT id, x, y, tx, ty, {joined('list_distinct(list_filter(tx, lambda w: list_contains(ty, w)))')} AS both_, {joined('list_distinct(list_filter(tx, lambda w: NOT list_contains(ty, w)))')} AS dx, {joined('list_distinct(list_filter(ty, lambda w: NOT list_contains(tx, w)))')} AS dy FROM tok),
+  forms AS (SELECT id, 'plain' AS form, x, y FROM sets UNION ALL SELECT id, 'sorted', {joined('tx')}, {joined('ty')} FROM sets UNION ALL SELECT id, 'set', trim(concat(both_, ' ', dx)), trim(concat(both_, ' ', dy)) FROM sets),
+  sided AS (SELECT id, form, CASE WHEN length(x) <= length(y) THEN x ELSE y END AS s, CASE WHEN length(x) <= length(y) THEN y ELSE x END AS l, least(length(x), length(y)) AS n FROM forms),
+  hit AS (SELECT id, form, n, length(l) AS ll, list_transform(list_filter(string_split(l, ''), lambda c: c <> ''), lambda c: {mask}) AS hits FROM sided),
+  measured AS (SELECT id, form, n, ll, CASE WHEN n + ll = 0 THEN 100e0 WHEN n = 0 THEN 0e0 ELSE 200e0 * {lcs('hits')} / (n + ll) END AS ratio,
+    CASE WHEN n = 0 THEN CASE WHEN ll = 0 THEN 100e0 ELSE 0e0 END WHEN form = 'set' THEN NULL ELSE list_max(list_transform(range(1 - n, ll), lambda o: 200e0 * {lcs(f"hits[greatest(o, 0) + 1:greatest(o, 0) + {size}]")} / (n + {size}))) END AS part FROM hit),
+  wide AS (SELECT id, max(ratio) FILTER (form = 'plain') AS ratio, max(ratio) FILTER (form = 'sorted') AS token_sort, max(part) FILTER (form = 'plain') AS part, max(part) FILTER (form = 'sorted') AS sorted_part, max(ratio) FILTER (form = 'set') AS of_set,
+    max(ll) FILTER (form = 'plain') / greatest(1, max(n) FILTER (form = 'plain')) AS share, min(n) FILTER (form = 'plain') AS least_ FROM measured GROUP BY id),
+  ratios AS (SELECT id, ratio, token_sort, part, CASE WHEN len(tx) = 0 OR len(ty) = 0 THEN 0e0 WHEN both_ <> '' AND (dx = '' OR dy = '') THEN 100e0 WHEN both_ <> '' THEN greatest(of_set, 200e0 * length(both_) / (2 * length(both_) + 1 + length(dx)), 200e0 * length(both_) / (2 * length(both_) + 1 + length(dy))) ELSE of_set END AS token_set, sorted_part, share, least_ FROM wide JOIN sets USING (id)),
+  scored AS (SELECT id, ratio, token_sort, part, CASE WHEN least_ = 0 THEN 0e0 WHEN share < 1.5 THEN greatest(ratio, 0.95e0 * token_sort, 0.95e0 * token_set) ELSE greatest(ratio, CASE WHEN share <= 8 THEN 0.9e0 ELSE 0.6e0 END * part, CASE WHEN share <= 8 THEN 0.9e0 ELSE 0.6e0 END * 0.95e0 * sorted_part) END AS weighted FROM ratios)"""
+
+
+@query("t30_fuzzy_ratios", f"WITH {NORM}, " + _fuzzy_sql("pairs AS (SELECT a.record_id AS id, a.name_norm AS x, b.name_norm AS y FROM norm a JOIN norm b ON b.record_id = a.record_id + 1)")
+       + " SELECT id AS record_id, round(ratio, 6) AS ratio, round(token_sort, 6) AS token_sort, round(part, 6) AS partial, round(weighted, 6) AS weighted FROM scored")
 def fuzzy_ratios(spark, sf):
     """Every listing's name against the next one's, by all four ratios."""
     d = normalized(spark, sf).select("record_id", "name_norm")
     j = d.join(d.select((F.col("record_id") - 1).alias("record_id"), F.col("name_norm").alias("o")), "record_id")
-    return j.select("record_id", *(F.round(f("name_norm", "o"), 6).alias(n) for n, f in (("ratio", ratios.ratio_column), ("token_sort", ratios.token_sort_column), ("partial", ratios.partial_column), ("weighted", ratios.wratio_column))))
+    return j.select("record_id", *(F.round(f(F.col("name_norm"), F.col("o")), 6).alias(n) for n, f in (("ratio", ratios.ratio), ("token_sort", ratios.token_sort), ("partial", ratios.partial), ("weighted", ratios.wratio))))
 
 
 @query("t31_g1_distance", f"""WITH {REC} SELECT record_id, round(acos(greatest(-1.0, least(1.0, sin(radians(lat)) * sin(radians(4.6)) + cos(radians(lat)) * cos(radians(4.6)) * cos(radians(lon + 74.1))))) * 6371000, 1) AS m,
@@ -634,13 +657,38 @@ def _customers(spark, sf):
     return d.select(F.col("record_id").cast("string").alias("code"), F.regexp_replace("name", "e", "a").alias("account"), "address", "place", F.col("record_id").alias("seq"))
 
 
-@query("j9_j10_a22_contrast")
+_SORTED = lambda v: f"array_to_string(list_sort(list_filter(regexp_split_to_array({v}, '\\s+'), lambda w: w <> '')), ' ')"
+_UPPER_NAME = r"trim(regexp_replace(regexp_replace(strip_accents(upper(trim({}))), '[^\w\s]', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+@query("j9_j10_a22_contrast", f"WITH {REC}, addr AS (SELECT record_id, trim(regexp_replace(regexp_replace({_UPPER}, '[^\\w\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS pa FROM rec)," + f"""
+  p AS (SELECT record_id, place AS k, {_SORTED(_UPPER_NAME.format('name'))} AS s FROM rec), c AS (SELECT record_id AS seq, regexp_replace(name, 'e', 'a', 'g') AS account, place AS k FROM rec), cs AS (SELECT seq, account, k, {_SORTED(_UPPER_NAME.format('account'))} AS s FROM c),
+  cn AS (SELECT k, s, min(seq) AS seq FROM cs GROUP BY k, s), pn AS (SELECT DISTINCT k, s FROM p),
+  two AS (SELECT row_number() OVER (ORDER BY pn.k, pn.s, cn.s) AS id, pn.k, pn.s AS ps, cn.s AS x, cn.seq FROM pn JOIN cn ON pn.k = cn.k WHERE 200 * least(length(pn.s), length(cn.s)) >= 70 * (length(pn.s) + length(cn.s))),
+  masked AS (SELECT k, s, map_from_entries(list_transform(list_distinct(string_split(s, '')), lambda c: {{'k': c, 'v': list_sum(list_transform(range(1, length(s) + 1), lambda i: CASE WHEN substr(s, i, 1) = c THEN CAST(1 AS HUGEINT) << CAST(i - 1 AS INT) ELSE CAST(0 AS HUGEINT) END))}})) AS m, (CAST(1 AS HUGEINT) << CAST(length(s) AS INT)) - 1 AS f FROM pn),
+  sc AS (SELECT two.k, ps, seq, 200e0 * (length(ps) - CAST(bit_count(list_reduce(list_concat([f], list_transform(string_split(x, ''), lambda c: coalesce(map_extract(m, c)[1], CAST(0 AS HUGEINT)))), lambda r, h: ((r + (r & h)) | (r - (r & h))) & f)) AS INT)) / (length(ps) + length(x)) AS score FROM two JOIN masked ON masked.k = two.k AND masked.s = ps),
+  best AS (SELECT k, ps, max(score) AS score, arg_min(seq, {{'a': -score, 'b': seq}}) AS seq FROM sc WHERE score >= 70 GROUP BY k, ps),
+  j AS (SELECT p.record_id, best.score, best.seq, a.pa AS x, b.pa AS y FROM p JOIN best ON p.k = best.k AND p.s = best.ps JOIN addr a ON a.record_id = p.record_id JOIN addr b ON b.record_id = best.seq),
+  """ + _fuzzy_sql("pairs AS (SELECT record_id AS id, x, y FROM j WHERE score < 85)") + """,
+  cat AS (SELECT j.*, CASE WHEN j.score >= 85 THEN 'confirmed' WHEN x <> '' AND y <> '' AND scored.part >= 60 THEN 'probable' ELSE 'new' END AS category FROM j LEFT JOIN scored ON id = record_id)
+  SELECT rec.record_id AS prospect_id, CASE WHEN category <> 'new' THEN CAST(seq AS VARCHAR) END AS code, CASE WHEN category <> 'new' THEN account END AS account, cat.score, coalesce(category, 'new') AS category FROM rec LEFT JOIN cat ON cat.record_id = rec.record_id LEFT JOIN c USING (seq)""")
 def customer_contrast(spark, sf):
     p = listings(spark, sf).select(F.col("record_id").alias("prospect_id"), "name", "address", "place")
     return contrast.best_match(p, _customers(spark, sf))
 
 
-@query("j14_place_resolver")
+_SLUG = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(strip_accents(lower(trim({}))), '[\s_]+', '-', 'g'), '[^a-z0-9-]', '', 'g'), '-+', '-', 'g'), '^-|-$', '', 'g')"
+_KNOWN = f"known AS (SELECT DISTINCT {_SLUG.format('n_name')} AS slug FROM nation)"
+
+
+def _resolved_sql(asked: str) -> str:
+    """CTEs over asked (q): resolved has each distinct q's best known slug, every two compared."""
+    return f"""{asked}, qs AS (SELECT DISTINCT q FROM asked WHERE q <> '' AND q NOT IN (SELECT slug FROM known)), cross_ AS (SELECT row_number() OVER (ORDER BY q, slug) AS id, q, slug FROM qs, known),
+  {_fuzzy_sql("pairs AS (SELECT id, q AS x, slug AS y FROM cross_)")}, resolved AS (SELECT q, arg_min(slug, {{'a': -weighted, 'b': slug}}) AS slug, max(weighted) AS score FROM cross_ JOIN scored USING (id) GROUP BY q HAVING max(weighted) >= 72)"""
+
+
+@query("j14_place_resolver", f"WITH {_KNOWN}, " + _resolved_sql(f"req AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN regexp_replace(n_name, 'I', 'Y', 'g') ELSE n_name END AS place FROM customer JOIN nation ON c_nationkey = n_nationkey), asked AS (SELECT id, place, {_SLUG.format('place')} AS q FROM req)")
+       + " SELECT a.id, a.place, coalesce(k.slug, r.slug) AS slug, CASE WHEN k.slug IS NOT NULL THEN 100e0 ELSE coalesce(r.score, 0e0) END AS score, CASE WHEN k.slug IS NOT NULL THEN 'exact' WHEN r.score >= 88 THEN 'fuzzy_high' WHEN r.score >= 72 THEN 'fuzzy_medium' ELSE 'rejected' END AS how FROM asked a LEFT JOIN known k ON k.slug = q LEFT JOIN resolved r USING (q)")
 def place_resolver(spark, sf):
     known = read(spark, sf, "nation").select(X.normalize_place(F.col("n_name"), "slug").alias("slug"), F.col("n_regionkey").cast("string").alias("department"))
     asked = read(spark, sf, "customer").join(read(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -648,7 +696,16 @@ def place_resolver(spark, sf):
     return places.resolve_places(asked, known)
 
 
-@query("p1_parse_places")
+_STOP = "es la de y un una los las el en a o u por para con sin del al son está están soy eres somos que si no más menos muy mejor peor bien mal bueno malo grande pequeño nuevo viejo joven mayor menor ciudad municipio departamento región zona área desde hasta entre dentro fuera sobre bajo me te se les mis tus sus"
+
+
+@query("p1_parse_places", f"""WITH {_KNOWN}, stop AS (SELECT unnest(string_split('{_STOP}', ' ')) AS w), texts AS (SELECT c_custkey AS id, concat('tiendas en ', lower(n_name), ', Peru y Kenia; ', n_name) AS text FROM customer JOIN nation ON c_nationkey = n_nationkey),
+  cut AS (SELECT id, regexp_split_to_array(text, '[,;]|\\sy\\s') AS parts FROM texts), piece AS (SELECT id, unnest(range(len(parts))) AS seq, unnest(parts) AS part FROM cut), pieces AS (SELECT id, seq, part, {_SLUG.format('part')} AS q FROM piece WHERE trim(part) <> ''),
+  """ + _resolved_sql("asked AS (SELECT q FROM pieces WHERE length(q) >= 3 AND q NOT IN (SELECT w FROM stop))") + f""",
+  named AS (SELECT p.id, p.seq, p.part, coalesce(k.slug, r.slug) AS slug FROM pieces p LEFT JOIN known k ON k.slug = p.q LEFT JOIN resolved r ON r.q = p.q AND r.score >= 88),
+  split_ AS (SELECT id, seq, regexp_split_to_array(part, '\\s+') AS ws FROM named WHERE slug IS NULL), word AS (SELECT id, seq, unnest(range(len(ws))) AS pos, unnest(ws) AS w FROM split_), found AS (SELECT id, seq, pos, {_SLUG.format('w')} AS slug FROM word),
+  every AS (SELECT id, seq, 0 AS pos, slug FROM named WHERE slug IS NOT NULL UNION ALL SELECT id, seq, pos, slug FROM found WHERE length(slug) >= 4 AND slug IN (SELECT slug FROM known) AND slug NOT IN (SELECT w FROM stop))
+  SELECT id, CAST(seq AS INT) AS seq, slug FROM every QUALIFY row_number() OVER (PARTITION BY id, slug ORDER BY seq, pos) = 1""")
 def parse_places(spark, sf):
     n = read(spark, sf, "nation")
     known = n.select(X.normalize_place(F.col("n_name"), "slug").alias("slug"))

@@ -45,7 +45,7 @@ def test_golden_and_scores(resolved):
     e = {r.entity: r for r in resolved.entities.collect()}
     assert e[10].nit is None and e[1].nit == "900123456" and e[1].name == "Otra Razón" and e[1].main_source == "rues"
     assert 12 in e and 13 not in e and e[5].sources == ["foursquare", "google_maps", "serper"] and e[5].phone == "3001111111"
-    assert e[1].quality == 25 + 15 + 10 + 10 + 10 + 20 + 15 and e[1].approved and e[100].n_matches == 19
+    assert e[1].quality == 25 + 15 + 10 + 10 + 10 + 20 + 15 and e[1].approved and e[100].n_matches == 190
 
 
 def test_conflicts_and_rules(resolved):
@@ -70,7 +70,7 @@ def test_star_and_all_pairs_cluster_alike_in_any_order(spark, resolved):
 def test_contrast_equals_all_pairs(spark, sf, monkeypatch):
     """Every listing gets a row; repeated names, orders of tokens and sliced places change no best customer."""
     from entityspark import queries as Q
-    from entityspark.functions.ratios import partial, token_sort
+    from tests.plain_ratios import partial, token_sort
 
     ids = [r.record_id for r in Q.listings(spark, sf).select("record_id").collect()]
     assert sorted(r.prospect_id for r in Q.QUERIES["j9_j10_a22_contrast"](spark, sf).select("prospect_id").collect()) == sorted(ids)
@@ -171,6 +171,25 @@ def test_best_match(spark):
     assert k.total == 4 and k.coverage == 50.0 and contrast.kpis(contrast.best_match(p.limit(0), c)).first().coverage == 0.0
 
 
+def test_place_index_equals_all_pairs(spark, monkeypatch):
+    """Short and long names, one-letter names, names within names: every best match from 72 on is found."""
+    from tests.plain_ratios import wratio
+
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcd-ab") for _ in range(n)).strip("-").replace("--", "-")
+    known = sorted({w for n in (1, 2, 3, 4, 5, 7, 9, 12, 20) for _ in range(6) if (w := word(n))})
+    asked = sorted({w for n in (1, 2, 3, 4, 5, 6, 8, 10, 14, 25) for _ in range(12) if (w := word(n))} - set(known))
+    k = spark.createDataFrame([(w, f"d{i % 2}") for i, w in enumerate(known)], "slug string, department string")
+    r = spark.createDataFrame([(i, w, f"d{i % 3}" if i % 4 else None) for i, w in enumerate(asked)], "id long, place string, department string")
+    for by in (False, True):
+        got = {x.id: (x.slug, x.score) for x in places.resolve_places(r, k, by_department=by).collect()}
+        for i, w in enumerate(asked):
+            some = [s for j, s in enumerate(known) if not by or i % 4 == 0 or j % 2 == i % 3]
+            score, best = max(((round(wratio(w, s), 9), s) for s in some), key=lambda t: (t[0], [-ord(c) for c in t[1]] + [1]), default=(0, None))
+            slug, found = got[i]
+            assert (slug, round(found, 9)) == ((best, score) if score >= 72 else (None, 0.0)), (w, best, score, got[i])
+
+
 def test_places(spark):
     known = spark.createDataFrame([("bogota", "cundinamarca"), ("medellin", "antioquia"), ("la-union", "narino"), ("la-union", "valle")], "slug string, department string")
     asked = spark.createDataFrame([(1, "Bogotá"), (2, "Medelin"), (3, "zzz"), (4, None), (5, "")], "id long, place string")

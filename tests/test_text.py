@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from entityspark.functions import ratios as R
+from tests import plain_ratios
 from entityspark.functions import scoring as S
 from entityspark.functions import text as X
 
@@ -64,20 +65,18 @@ def test_scores(spark):
     assert [x.o for x in r] == [9, -5, 0] and [x.m for x in r] == [5, 3, 0]
 
 
-def slow_lcs(a, b):
-    row = [0] * (len(b) + 1)
-    for x in a:
-        last = 0
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
-
-
-def test_ratios():
+def test_ratios(spark):
+    """All ratios against plain Python: short and long strings, several integers of bits, repeats, blanks, empties, nulls."""
     rng = random.Random(1)
-    for _ in range(200):
-        a, b = ("".join(rng.choice("abc ") for _ in range(rng.randint(0, 12))) for _ in "xy")
-        assert R.lcs(a, b) == slow_lcs(a, b) and R.ratio(a, b) == R.ratio(b, a)
-        if a and b:
-            assert 0 <= R.wratio(a, b) <= 100 and R.partial(a, b) >= R.ratio(a, b) - 1e-9 or len(a) != len(b)
-    assert R.token_sort("a b c", "c a b") == 100 and R.partial("abc", "xxabcxx") == 100 and R.ratio("abcd", "abce") == 75 and R.wratio("bogota", "bogota") == 100
+    word = lambda n, letters="abc ": "".join(rng.choice(letters) for _ in range(n))
+    rows = [(word(rng.randint(0, 12)), word(rng.randint(0, 12))) for _ in range(120)] + [(word(rng.randint(50, 140), "abcdé 😀"), word(rng.randint(50, 140), "abcdé 😀")) for _ in range(12)]
+    rows += [(word(n), word(m)) for n in (61, 62, 63, 124, 125) for m in (62, 63, 130)] + [("a" * 200, "a" * 130), ("", ""), ("", "x"), ("a b c", "c a b"), ("abc", "xxabcxx"), ("a\u00a0b", "b a"), ("bogota", "bogota"), ("a b c d", "a b"), ("casa norte", "norte casa blanca de la montana azul")]
+    d = spark.createDataFrame(rows + [(None, "a"), ("a", None), (None, None)], "a string, b string")
+    names = ("lcs", "ratio", "token_sort", "partial", "token_set", "wratio")
+    got = d.select("a", "b", *(getattr(R, n)(F.col("a"), F.col("b")).alias(n) for n in names)).collect()
+    for r in got:
+        for n in names[1:] if r.a is None or r.b is None else names:
+            want = None if r.a is None or r.b is None else getattr(plain_ratios, n)(r.a, r.b)
+            assert r[n] == want or abs(r[n] - want) < 1e-9, (n, r)
+    by = {(r.a, r.b): r for r in got}
+    assert by["a b c", "c a b"].token_sort == 100 and by["abc", "xxabcxx"].partial == 100 and by["bogota", "bogota"].wratio == 100
