@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from entityspark.functions.ratios import partial, ratio, sorted_tokens
 from entityspark.functions.text import normalize_address_upper, normalize_name_upper, normalize_place
-from entityspark.operators.best import best_candidates, common_letters, sliced_join, with_letter_counts
+from entityspark.operators.best import best_candidates, common_letters, sliced_join, with_letter_bits
 from entityspark.operators.records import first_per_key
 from entityspark.storage import materialize
 
@@ -38,19 +38,21 @@ def best_match(prospects: DataFrame, customers: DataFrame, sure: float = 85, may
 
     Names that are equal but for the order of their tokens have equal ratios: of a place they meet once, customers as
     the first in seq. Equal strings are settled by a plain join. For the rest, a ratio is at most 200 * common
-    characters / (both lengths), which whole-stage code works out from counts of letters; the candidate of the highest
+    characters / (both lengths), which bitmaps of letter counts give; the candidate of the highest
     bound is scored first, then only those whose bound reaches that score.
     """
     p = prospects.select("prospect_id", normalize_name_upper(F.col("name")).alias("pn"), normalize_address_upper(F.col("address")).alias("pa"), normalize_place(F.col("place"), "upper").alias("k"))
     c = customers.select("code", "account", "seq", normalize_name_upper(F.col("account")).alias("cn"), normalize_address_upper(F.col("address")).alias("ca"), normalize_place(F.col("place"), "upper").alias("k"))
     p, c = (d.withColumn("s", sorted_tokens(F.col(n))).where("s != ''") for d, n in ((p, "pn"), (c, "cn")))
-    names = materialize(with_letter_counts(c.groupBy("k", "s").agg(F.min_by(F.struct("code", "account", "ca", "seq"), "seq").alias("customer")), "s"))
+    names = materialize(with_letter_bits(c.groupBy("k", "s").agg(F.min_by(F.struct("code", "account", "ca", "seq"), "seq").alias("customer")), "s"))
+    slim = names.withColumn("seq", F.col("customer.seq")).drop("customer")
     mine = p.select("k", "s").distinct()
     equal = mine.join(names.select("k", "s", "customer"), ["k", "s"]).select("k", "s", "customer", F.lit(100.0).alias("score"))
-    rest = materialize(with_letter_counts(mine.join(names.select("k", "s"), ["k", "s"], "left_anti"), "s"))
+    rest = materialize(with_letter_bits(mine.join(names.select("k", "s"), ["k", "s"], "left_anti"), "s"))
     bound = common_letters() * 200.0 / (F.length("x.s") + F.length("y.s"))
-    found = best_candidates(rest, lambda rows: sliced_join(rows, names, SLICE), ["k", "s"], {"seq": F.col("y.customer.seq"), "s": F.col("y.s"), "customer": F.col("y.customer")}, bound, lambda t: ratio(t["s"], t["c"]["s"]), "seq", maybe)
-    j = equal.unionAll(found.select("k", "s", "candidate.customer", "score")).select("k", "s", "customer.*", "score")
+    found = best_candidates(rest, lambda rows: sliced_join(rows, slim, SLICE), ["k", "s"], {"seq": F.col("y.seq"), "s": F.col("y.s")}, bound, lambda t: ratio(t["s"], t["c"]["s"]), "seq", maybe)
+    found = found.select("k", "s", F.col("candidate.s").alias("t"), "score").join(names.select("k", F.col("s").alias("t"), "customer"), ["k", "t"])
+    j = equal.unionAll(found.select("k", "s", "customer", "score")).select("k", "s", "customer.*", "score")
     j = p.select("prospect_id", "pa", "k", "s").join(j, ["k", "s"])
     best = j.groupBy("prospect_id").agg(F.min_by(F.struct("code", "account", "score", "pa", "ca"), F.struct(-F.col("score"), "seq")).alias("m")).select("prospect_id", "m.*")
     near = F.when((F.col("pa") != "") & (F.col("ca") != "") & (F.col("score") < sure), partial(F.col("pa"), F.col("ca")) >= address)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from entityspark.functions.ratios import slug_ratio
 from entityspark.functions.text import normalize_place
-from entityspark.operators.best import best_candidates, common_letters, sliced_join, with_letter_counts
+from entityspark.operators.best import best_candidates, common_letters, sliced_join, with_letter_bits
 from entityspark.operators.records import first_per_key
 from entityspark.storage import materialize
 
@@ -44,7 +44,7 @@ def _scored(queries: DataFrame, known: DataFrame, by_department: bool) -> DataFr
     least SUGGEST. Queries and places meet by an inverted index of letter pairs; keys that many share are sliced on both
     sides, and a pair counts under the first key that it shares."""
     def indexed(d: DataFrame, query: bool) -> DataFrame:
-        return materialize(with_letter_counts(d, "s").withColumn("keys", index_keys(F.col("s"), query)).withColumn("k", F.explode("keys")))
+        return materialize(with_letter_bits(d, "s").withColumn("keys", index_keys(F.col("s"), query)).withColumn("k", F.explode("keys")))
 
     asked = queries.select(F.col("q").alias("s"), "d").distinct()
     places = known.select(F.col("slug").alias("s"), *(["department"] if by_department else [])).distinct()
