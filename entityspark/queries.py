@@ -16,8 +16,8 @@ from entityspark.functions import scoring as S
 from entityspark.functions import text as X
 from entityspark.operators import contrast, coverage, geo, golden, matching, places, quality, records, reports
 from entityspark.plans.resolution import resolve
-from entityspark.sources import flatten, tables, webpages
-from entityspark.storage import scratch_path
+from entityspark.sources import flatten, keyed, tables, webpages
+from entityspark.storage import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -587,6 +587,16 @@ def upsert(spark, sf):
     return tables.upsert(new, o.where("o_orderkey % 3 <> 0"), ["o_orderkey"], ["o_totalprice"])
 
 
+@query("s8_keyed_upsert", ORACLES["s8_upsert"])
+def keyed_upsert(spark, sf):
+    """The same through a stored table: written by key buckets, then updated in the buckets that the update touches."""
+    o, path = read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), scratch_path(spark)
+    keyed.upsert_into(o.where("o_orderkey % 3 <> 0"), path, ["o_orderkey"], ["o_totalprice"], buckets=16)
+    new = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    keyed.upsert_into(new, path, ["o_orderkey"], ["o_totalprice"])
+    return keyed.read(spark, path, o.schema)
+
+
 @query("a21_customer_dedup", "SELECT o_custkey AS code, min(o_orderkey) AS seq FROM orders GROUP BY o_custkey")
 def customer_dedup(spark, sf):
     return contrast.dedup_customers(read(spark, sf, "orders").select(F.col("o_custkey").alias("code"), F.col("o_orderkey").alias("seq")))
@@ -909,7 +919,39 @@ def incremental_ingest(spark, sf):
     for part in (F.col("event_id") <= half, F.col("event_id") > half):
         d.where(part).write.mode("append").json(log)
         ingest(spark, log, "event_id long, hash_id string", lambda b: b, table, checkpoint, ["hash_id"], ["event_id"]).awaitTermination()
-    return spark.read.schema("event_id long, hash_id string").parquet(table)
+    return keyed.read(spark, table, d.schema)
+
+
+#: Four batches by event_id; every seventh event comes with a time 40 days back. One row for each key and batch.
+_LATE = """SELECT least(3, (event_id * 4) {div} greatest(1, (SELECT max(event_id) + 1 FROM {events}))) AS arrived, concat('u', CAST(user_id AS VARCHAR(20)), event_type) AS hash_id,
+  min(CAST(floor({seconds}) AS BIGINT) - CASE WHEN event_id % 7 = 0 THEN 3456000 ELSE 0 END) AS at_ FROM {events} GROUP BY 1, 2"""
+
+
+@query("r2_late_repeats", f"""WITH RECURSIVE r AS ({_LATE.format(events='events', seconds='epoch(ts)', div='//')}),
+  low AS (SELECT b AS arrived, coalesce((SELECT max(at_) FROM r WHERE arrived < b) - 432000, 0) AS mark FROM range(4) t(b)), n AS (SELECT r.*, mark, row_number() OVER (PARTITION BY hash_id ORDER BY arrived) AS i FROM r JOIN low USING (arrived)),
+  step(hash_id, arrived, i, passed, gone) AS (SELECT hash_id, arrived, i, at_ > mark, CASE WHEN at_ > mark THEN at_ + 432000 END FROM n WHERE i = 1
+    UNION ALL SELECT n.hash_id, n.arrived, n.i, n.at_ > mark AND coalesce(gone <= mark, true), CASE WHEN n.at_ > mark AND coalesce(gone <= mark, true) THEN n.at_ + 432000 ELSE gone END FROM step s JOIN n ON n.hash_id = s.hash_id AND n.i = s.i + 1)
+  SELECT hash_id, CAST(arrived AS BIGINT) AS arrived, row_number() OVER (PARTITION BY hash_id ORDER BY arrived) = 1 AS stored FROM step WHERE passed""")
+def late_repeats(spark, sf):
+    """Which rows a deduplication with five days of delay lets through, batch by batch: repeats of keys whose state is
+    gone pass again, rows behind the watermark never do. stored: what the sink's check against its table keeps."""
+    from entityspark.streaming.ingest import bounded_dedup as dedup
+
+    read(spark, sf, "events").createOrReplaceTempView("late_events")
+    rows = materialize(spark.sql(_LATE.format(events="late_events", seconds="unix_micros(CAST(ts AS TIMESTAMP)) / 1000000", div="div")))
+    source, passed, table, checkpoint = (scratch_path(spark) for _ in range(4))
+
+    def sink(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{passed}/part={number}")
+        keyed.insert_batch(batch, table, ["hash_id"], ["arrived"], str(number), buckets=8)
+
+    for b in range(4):
+        rows.where(F.col("arrived") == b).select("arrived", "hash_id", F.timestamp_seconds("at_").alias("ts")).write.mode("append").parquet(source)
+        stream = dedup(spark.readStream.schema("arrived long, hash_id string, ts timestamp").parquet(source), "ts", ["hash_id"], "5 days").select("arrived", "hash_id")
+        stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.schema("arrived long, hash_id string").parquet(passed)
+    kept = keyed.read(spark, table, out.schema).select("hash_id", F.col("arrived").alias("first"))
+    return out.join(kept, "hash_id").select("hash_id", "arrived", (F.col("arrived") == F.col("first")).alias("stored"))
 
 
 @query("r2_bounded_dedup", "SELECT DISTINCT concat('k', user_id, event_type) AS hash_id FROM events")

@@ -2,29 +2,25 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from entityspark.sources.tables import insert_new
+from entityspark.sources import keyed
 
 
-def _stored(spark: SparkSession, table: str, like: DataFrame) -> DataFrame:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
-    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-    return spark.read.schema(like.schema).parquet(table) if there else spark.createDataFrame([], like.schema)
+def ingest(spark: SparkSession, log: str, schema: str, flatten: Callable[[DataFrame], DataFrame], table: str, checkpoint: str, key: list[str], order: list[str], buckets: int = 64) -> StreamingQuery:
+    """Every new log file, flattened, into a keyed table (sources.keyed): only keys not stored yet.
 
-
-def ingest(spark: SparkSession, log: str, schema: str, flatten: Callable[[DataFrame], DataFrame], table: str, checkpoint: str, key: list[str], order: list[str]) -> StreamingQuery:
-    """Every new log file, flattened, into the table: only keys not stored yet.
-
-    A batch that runs again after a failure is held against the table it may have written already, so it adds nothing
-    twice. Ends when all files present are taken.
+    A batch writes under a name made of its stream and number and is held against its own key buckets only. A batch
+    that failed, even half-written, and runs again replaces its files. Ends when all files present are taken.
     """
-    def store(batch: DataFrame, _: int) -> None:
-        rows = flatten(batch)
-        insert_new(rows, _stored(spark, table, rows), key, order).write.mode("append").parquet(table)
+    stream_name = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
+
+    def store(batch: DataFrame, number: int) -> None:
+        keyed.insert_batch(flatten(batch), table, key, order, f"{stream_name}-{number}", buckets)
 
     stream = spark.readStream.schema(schema).json(log)
     return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from entityspark.functions import text as X
 from entityspark.operators import components, contrast, coverage, geo, golden, matching, places, quality, records, reports
 from entityspark.plans.resolution import resolve
-from entityspark.sources import flatten, tables, webpages
+from entityspark.sources import keyed, flatten, tables, webpages
 from entityspark.streaming import ingest as stream
 
 RAW = "record_id long, source string, name string, legal_name string, place string, nit string, phone string, email string, address string, lat double, lon double, score int, approved boolean"
@@ -243,6 +243,57 @@ def test_log_insert_upsert_stream(spark, tmp_path):
     assert out.isStreaming
 
 
+def files_of(path):
+    return {p.relative_to(path).as_posix(): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def test_keyed_insert_survives_failures(spark, tmp_path, monkeypatch):
+    """A batch that fails between the folders it writes, leaving some in place, is repeated: no row twice, none lost."""
+    table, log = tmp_path / "t", tmp_path / "log"
+    log.mkdir()
+    write = lambda n, ids: (log / n).write_text("\n".join(json.dumps({"k": f"k{i}", "n": i}) for i in ids))
+    run = lambda: stream.ingest(spark, str(log), "k string, n long", lambda b: b, str(table), str(tmp_path / "check"), ["k"], ["n"], buckets=8).awaitTermination(120)
+    write("a.json", [*range(40), *range(20)])
+    run()
+    before = files_of(table)
+    write("b.json", range(30, 90))
+    real = keyed._write
+
+    def half(d, path, by):
+        real(d.where("bucket < 4"), path, by)
+        raise OSError("lost")
+
+    monkeypatch.setattr(keyed, "_write", half)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    assert len(files_of(table)) > len(before)
+    monkeypatch.setattr(keyed, "_write", real)
+    run()
+    got = keyed.read(spark, str(table), spark.createDataFrame([], "k string, n long").schema)
+    assert sorted((r.k, r.n) for r in got.collect()) == sorted((f"k{i}", i) for i in range(90))
+    assert before.items() <= files_of(table).items() and keyed.bucket_count(spark, str(table)) == 8
+
+
+def test_upsert_leaves_other_buckets(spark, tmp_path):
+    table = tmp_path / "t"
+    d = spark.createDataFrame([(i, f"a{i}", i) for i in range(200)], "k long, name string, n long")
+    keyed.upsert_into(d, str(table), ["k"], ["n"], buckets=16)
+    before = files_of(table)
+    new = spark.createDataFrame([(7, "x", 70), (7000, "y", 1)], "k long, name string, n long")
+    keyed.upsert_into(new, str(table), ["k"], ["n"])
+    after = files_of(table)
+    touched = {n.split("/")[0] for n in after.keys() - before.keys()}
+    assert 1 <= len(touched) <= 2 and {n for n in before if n.split("/")[0] not in touched} == {n for n in before if n in after and before[n] == after[n]}
+    rows = {r.k: (r.name, r.n) for r in keyed.read(spark, str(table), d.schema).collect()}
+    assert len(rows) == 201 and rows[7] == ("a7", 70) and rows[7000] == ("y", 1) and rows[8] == ("a8", 8)
+
+
+def test_first_of_ties_nulls_and_lone_keys(spark):
+    d = spark.createDataFrame([("a", 2, "x"), ("a", None, "y"), ("b", 1, None), (None, 0, "z")], "k string, n int, v string")
+    assert sorted((r.k, r.n, r.v) for r in tables.first_of(d, ["k"], ["n"]).collect()) == [("a", None, "y"), ("b", 1, None)]
+    assert [r.k for r in tables.first_of(d.select("k"), ["k"], ["k"]).orderBy("k").collect()] == ["a", "b"]
+
+
 def test_geo(spark):
     d = spark.createDataFrame([(1, "Cali", 3.4, -76.5), (2, "Cali", 10.0, -75.0), (3, "Nada", 50.0, 0.0), (4, "cali", None, None)], "id int, place string, lat double, lon double")
     c = spark.createDataFrame([("CALI", 3.45, -76.53)], "place string, lat double, lon double")
