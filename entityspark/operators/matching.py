@@ -115,10 +115,40 @@ def near_pairs(d: DataFrame, metres: float = 50.0, box: float = 0.001, null_isla
     return j.where(X.distance_m(F.col("x_lat"), F.col("x_lon"), F.col("y_lat"), F.col("y_lon")) < metres)
 
 
-def near_names(d: DataFrame, threshold: float = 0.70, null_island: str = "drop") -> DataFrame:
-    p = near_pairs(d.withColumn("__g", X.trigrams(F.coalesce("name_norm", F.lit("")))), null_island=null_island, keep=["__g"])
-    p = p.where(X.set_similarity(F.col("x___g"), F.col("y___g")) >= threshold)
-    return p.select("a", "b", F.lit("near_name").alias("rule"), F.lit(80).alias("score"), F.lit("pending").alias("decision"))
+#: Points of a cell of the box's size from which on it counts as crowded.
+CROWDED = 500
+
+
+def _crowded_pairs(points: DataFrame, hot: DataFrame, threshold: float, metres: float, box: float) -> DataFrame:
+    """a, b: similar names at near points of which one at least lies in a crowded cell. Points in and around these cells
+    are dealt to squares of twice the box in four grids, half a square apart, so every two within the box share one.
+    In a square similar names meet as those of a place do, by rare trigrams in slices; distances follow for what is left."""
+    around = F.explode(F.array(*(F.struct((F.col("ci") + i).alias("ci"), (F.col("cj") + j).alias("cj")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
+    p = points.join(hot.select(around.alias("o")).select("o.*").distinct(), ["ci", "cj"], "left_semi").join(hot.withColumn("crowded", F.lit(True)), ["ci", "cj"], "left")
+    at = lambda c, shift: F.floor(F.col(c) / (2 * box) + shift / 2)
+    squares = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), at("lat", i).alias("si"), at("lon", j).alias("sj")) for i in (0, 1) for j in (0, 1)))
+    rows = p.withColumn("square", F.explode(squares)).select(F.struct("square", "record_id").alias("id"), "square", "name_norm")
+    alike = similarity_join(rows, "name_norm", threshold, "square", id_col="id").select("a.record_id", F.col("b.record_id").alias("b")).withColumnRenamed("record_id", "a").distinct()
+    for c in ("a", "b"):
+        alike = alike.join(p.select(F.col("record_id").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("lat", "lon", "crowded"))), c)
+    near = (F.abs(F.col("a_lat") - F.col("b_lat")) < box) & (F.abs(F.col("a_lon") - F.col("b_lon")) < box) & (X.distance_m(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon")) < metres)
+    return alike.where(near & F.coalesce("a_crowded", "b_crowded")).select("a", "b")
+
+
+def near_names(d: DataFrame, threshold: float = 0.70, null_island: str = "drop", metres: float = 50.0, box: float = 0.001, crowded: int | None = None) -> DataFrame:
+    """Similar names at points nearer than metres. Points of a cell meet those of the nine around it, but for crowded
+    cells (a shopping centre), whose pairs come from their names first: see _crowded_pairs. The pairs are the same."""
+    p = d.where("lat is not null and lon is not null")
+    p = p.where("not (lat = 0 and lon = 0)") if null_island == "drop" else p
+    p = p.select("record_id", "lat", "lon", "name_norm", F.floor(F.col("lat") / box).alias("ci"), F.floor(F.col("lon") / box).alias("cj"))
+    hot = materialize(p.groupBy("ci", "cj").agg(F.count("*").alias("n")).where(F.col("n") > (crowded or CROWDED)).select("ci", "cj"))
+    some = not hot.isEmpty()
+    plain = p.join(hot, ["ci", "cj"], "left_anti") if some else p
+    q = near_pairs(plain.withColumn("__g", X.trigrams(F.coalesce("name_norm", F.lit("")))), metres, box, "keep", keep=["__g"])
+    q = q.where(X.set_similarity(F.col("x___g"), F.col("y___g")) >= threshold).select("a", "b")
+    if some:
+        q = q.unionAll(_crowded_pairs(p, hot, threshold, metres, box))
+    return q.select("a", "b", F.lit("near_name").alias("rule"), F.lit(80).alias("score"), F.lit("pending").alias("decision"))
 
 
 def resolve_rules(found: list[DataFrame]) -> DataFrame:

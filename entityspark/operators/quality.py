@@ -15,19 +15,32 @@ WEIGHTS = {"nit": 25, "name": 15, "place": 10, "address": 10, "phone": 15, "emai
 SOURCE_WEIGHT = {"google_maps": 25, "paginas_amarillas": 20, "foursquare": 15, "serper": 15, "openstreetmap": 10}
 
 
-def detect_conflicts(d: DataFrame, fields: dict[str, str], key: str = "nit", blank_is_value: bool = False) -> DataFrame:
-    """record_id, key, field, severity, n_values, values, sources: for every record of a key whose field has several
-    distinct values. fields: field name to column. All fields go through one aggregation by key; blank keys are null
-    unless asked otherwise, so they make no giant group."""
+def _keyed(d: DataFrame, key: str, blank_is_value: bool) -> DataFrame:
     k = F.col(key) if blank_is_value else F.when(F.trim(key) != "", F.col(key))
-    d = d.withColumn("__k", k).where("__k is not null")
+    return d.withColumn("__k", k).where("__k is not null")
+
+
+def conflict_classes(d: DataFrame, fields: dict[str, str], key: str = "nit", blank_is_value: bool = False) -> DataFrame:
+    """key, field, severity, n_values, values, sources, n_records: one row for each key and field with several distinct
+    values. fields: field name to column. All fields go through one aggregation by key; blank keys are null unless
+    asked otherwise, so they make no giant group. Linear in the records, however many share a key."""
+    d = _keyed(d, key, blank_is_value)
     entries = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(c).cast("string").alias("value"), "source") for f, c in fields.items())))
-    values = d.select("__k", entries.alias("x")).select("__k", "x.*").where("value is not null").distinct()
-    groups = values.groupBy("__k", "field").agg(F.count_distinct("value").alias("n_values"), F.array_sort(F.collect_set("value")).alias("values"), F.array_sort(F.collect_set("source")).alias("sources")).where("n_values > 1")
+    # how often a value stands there sums up before the shuffle; nulls count as records, not as values
+    counted = d.select("__k", entries.alias("x")).groupBy("__k", "x.field", "x.value", "x.source").agg(F.count("*").alias("n"))
+    known = F.col("value").isNotNull()
+    groups = counted.groupBy("__k", "field").agg(F.count_distinct("value").alias("n_values"), F.array_sort(F.collect_set("value")).alias("values"), F.array_sort(F.collect_set(F.when(known, F.col("source")))).alias("sources"), F.sum("n").alias("n_records"))
     severity = F.lit("media")
     for f, s in SEVERITY.items():
         severity = F.when(F.col("field") == f, s).otherwise(severity)
-    return d.select("record_id", "__k").join(groups, "__k").select("record_id", F.col("__k").alias(key), "field", severity.alias("severity"), F.col("n_values").cast("long").alias("n_values"), "values", "sources")
+    return groups.where("n_values > 1").select(F.col("__k").alias(key), "field", severity.alias("severity"), F.col("n_values").cast("long").alias("n_values"), "values", "sources", "n_records")
+
+
+def detect_conflicts(d: DataFrame, fields: dict[str, str], key: str = "nit", blank_is_value: bool = False) -> DataFrame:
+    """record_id, key, field, severity, n_values, values, sources: the classes of conflict_classes() on each of their
+    records, for reports by record. Every record of a key repeats its arrays; counts and listings by key do without."""
+    classes = conflict_classes(d, fields, key, blank_is_value)
+    return _keyed(d, key, blank_is_value).select("record_id", F.col("__k").alias(key)).join(classes, key).select("record_id", key, "field", "severity", "n_values", "values", "sources")
 
 
 def invalid_formats(d: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
@@ -37,10 +50,11 @@ def invalid_formats(d: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFra
 
 
 def conflict_summary(conflicts: DataFrame) -> DataFrame:
-    """Counts by field, by severity and in total; the total is there for an empty table too."""
-    none = F.lit(None).cast("string")
-    by = conflicts.groupingSets([[F.col("field")], [F.col("severity")]], "field", "severity").agg(F.count("*").alias("n"), F.grouping_id().alias("level"))
-    total = conflicts.agg(F.count("*").alias("n")).select(none.alias("field"), none.alias("severity"), "n", F.lit(3).alias("level"))
+    """Counts by field, by severity and in total of conflicts by record or, weighted by n_records, of their classes; the
+    total is there for an empty table too."""
+    none, n = F.lit(None).cast("string"), F.coalesce(F.sum("n_records"), F.lit(0)) if "n_records" in conflicts.columns else F.count("*")
+    by = conflicts.groupingSets([[F.col("field")], [F.col("severity")]], "field", "severity").agg(n.alias("n"), F.grouping_id().alias("level"))
+    total = conflicts.agg(n.alias("n")).select(none.alias("field"), none.alias("severity"), "n", F.lit(3).alias("level"))
     return by.select("field", "severity", "n", F.col("level").cast("int").alias("level")).unionAll(total)
 
 

@@ -470,7 +470,22 @@ def invalid(spark, sf):
 
 @query("a13_conflict_summary", f"WITH {CONFLICTS} SELECT field, severity, count(*) AS n, CAST(grouping(field, severity) AS INT) AS level FROM conflicts GROUP BY GROUPING SETS ((field), (severity), ())")
 def conflict_summary(spark, sf):
-    return quality.conflict_summary(_conflicts(spark, sf))
+    return quality.conflict_summary(quality.conflict_classes(normalized(spark, sf), dict(_FIELDS)))
+
+
+@query("a11_conflict_classes", f'WITH {CONFLICTS} SELECT nit, field, any_value(severity) AS severity, any_value(n_values) AS n_values, any_value("values") AS "values", any_value(sources) AS sources, count(*) AS n_records FROM conflicts GROUP BY nit, field')
+def conflict_classes(spark, sf):
+    """One row for each number and field in conflict, in place of one for each of its records."""
+    return quality.conflict_classes(normalized(spark, sf), dict(_FIELDS))
+
+
+@query("s6_nested_conflicts", f'WITH {CONFLICTS} SELECT c.record_id, c.field, c.severity, norm.name AS on_name, norm.source AS on_source FROM conflicts c JOIN norm USING (record_id)')
+def nested_conflicts(spark, sf):
+    """The conflict half of the nested report, written as JSON and read back."""
+    d, path = normalized(spark, sf), scratch_path(spark)
+    nested = reports.nested_conflicts(_conflicts(spark, sf), d, ["name", "source"], cap=None)
+    nested.write.json(path)
+    return spark.read.schema(nested.schema).json(path).select("record_id", "field", "severity", F.col("record.name").alias("on_name"), F.col("record.source").alias("on_source"))
 
 
 @query("a15_a17_reports", f"""WITH RECURSIVE {ENTITIES} SELECT count(*) AS total, count(*) FILTER (approved) AS approved, count(nit) AS with_nit, count(phone) AS with_phone, count(email) AS with_email, count(lat) AS with_lat, round(avg(quality), 2) AS average,

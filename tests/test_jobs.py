@@ -247,6 +247,36 @@ def files_of(path):
     return {p.relative_to(path).as_posix(): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
 
 
+def test_crowded_cells_give_the_same_pairs(spark):
+    """A crowd in one cell and around it, names that repeat, points at the edges, blanks."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abc") for _ in range(4))
+    spot = lambda: (4.6 + rng.gauss(0, 0.0004), -74.1 + rng.gauss(0, 0.0004))
+    rows = [(i, *spot(), f"{word()} {word()} {rng.choice(['sol', 'luna'])}") for i in range(500)] + [(i, *spot(), rng.choice(["", None, "sol luna"])) for i in range(500, 560)]
+    rows += [(600, 0.0, 0.0, "sol luna"), (601, 0.0, 0.0, "sol luna"), (602, None, 1.0, "sol luna")]
+    d = spark.createDataFrame(rows, "record_id long, lat double, lon double, name_norm string")
+    few, many = ({(r.a, r.b) for r in matching.near_names(d, crowded=n).collect()} for n in (20, 10_000))
+    assert few == many and len(few) > 100
+    assert matching.near_names(d, crowded=20).groupBy("a", "b").count().where("count > 1").isEmpty()
+
+
+def test_one_cell_of_many_points(spark):
+    """50,000 points of one cell, each name twice: no task meets them all."""
+    d = spark.range(50_000).select(F.col("id").alias("record_id"), (F.lit(4.6001) + F.rand(1) * 1e-4).alias("lat"), (F.lit(-74.0999) + F.rand(2) * 1e-4).alias("lon"), F.substring(F.sha2((F.col("id") % 25_000).cast("string"), 256), 1, 14).alias("name_norm"))
+    assert matching.near_names(d).count() == 25_000
+
+
+def test_conflict_classes(spark):
+    rows = [(i, "n1", "phone A" if i % 2 else "phone B", "x", "s") for i in range(1000)] + [(2000, "n2", "c", "x", "s"), (2001, "n2", "c", None, "s"), (2002, " ", "d", "e", "s"), (2003, " ", "f", "e", "s"), (2004, None, "f", "e", "s")]
+    d = spark.createDataFrame(rows, "record_id long, nit string, phone string, place string, source string")
+    fields = {"phone": "phone", "place": "place"}
+    got = quality.conflict_classes(d, fields).collect()
+    assert [(r.nit, r.field, r.n_values, r["values"], r.n_records) for r in got] == [("n1", "phone", 2, ["phone A", "phone B"], 1000)]
+    assert quality.detect_conflicts(d, fields).count() == 1000
+    want = {tuple(r) for r in quality.conflict_summary(quality.detect_conflicts(d, fields)).collect()}
+    assert {tuple(r) for r in quality.conflict_summary(quality.conflict_classes(d, fields)).collect()} == want and (None, None, 1000, 3) in want
+
+
 def test_keyed_insert_survives_failures(spark, tmp_path, monkeypatch):
     """A batch that fails between the folders it writes, leaving some in place, is repeated: no row twice, none lost."""
     table, log = tmp_path / "t", tmp_path / "log"
