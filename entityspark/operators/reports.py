@@ -32,6 +32,17 @@ def page(d: DataFrame, order: str, key: str, size: int, number: int = 0) -> Data
     return d.orderBy(F.desc_nulls_last(order), F.asc(key)).offset(size * number).limit(size)
 
 
+def page_after(d: DataFrame, order: str, key: str, size: int, after: tuple | None = None) -> DataFrame:
+    """The rows that follow the row (order, key) in falling order, nulls last, then by key; from the start without one.
+    Only this page's rows are sorted out, however far behind it lies. key is unique and not null."""
+    if after is not None:
+        value, last = after
+        same = F.col(order).isNull() if value is None else F.col(order) == F.lit(value)
+        behind = F.lit(False) if value is None else (F.col(order) < F.lit(value)) | F.col(order).isNull()
+        d = d.where(F.coalesce(behind | (same & (F.col(key) > F.lit(last))), F.lit(False)))
+    return d.orderBy(F.desc_nulls_last(order), F.asc(key)).limit(size)
+
+
 def by_severity(conflicts: DataFrame) -> DataFrame:
     from entityspark.operators.quality import severity_rank
 

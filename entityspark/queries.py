@@ -6,6 +6,8 @@ ingest from `events`; every query's work grows with its table.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -553,6 +555,16 @@ def entity_page(spark, sf):
     return reports.page(e, "quality", "entity", 20, 1).select("entity", "name", "quality")
 
 
+@query("l1_page_after", f"""WITH RECURSIVE {ENTITIES}, e AS (SELECT entity, name, quality FROM entities WHERE NOT (NOT approved AND sources = ['rues'])) SELECT p.*, (SELECT count(*) FROM e) AS total FROM (SELECT * FROM e ORDER BY quality DESC NULLS LAST, entity LIMIT 25 OFFSET 50) p""")
+def entity_page_after(spark, sf):
+    """The third page of all entities, each page asked for by the last row of the one before; the total beside it."""
+    e, last = materialize(quality.drop_inactive_register_only(_entities(spark, sf)).select("entity", "name", "quality")), None
+    for _ in range(2):
+        rows = reports.page_after(e, "quality", "entity", 25, last).collect()
+        last = (rows[-1].quality, rows[-1].entity) if rows else last
+    return reports.page_after(e, "quality", "entity", 25, last).crossJoin(e.agg(F.count("*").alias("total")))
+
+
 @query("u9_l2_conflict_listing", f"WITH {CONFLICTS} SELECT record_id, field, severity, n_values FROM conflicts WHERE severity <> 'baja' AND n_values BETWEEN 2 AND 4")
 def conflict_listing(spark, sf):
     return reports.by_severity(_conflicts(spark, sf).where("severity != 'baja' and n_values between 2 and 4")).select("record_id", "field", "severity", "n_values")
@@ -588,6 +600,17 @@ def place_sets(spark, sf):
 _ARRIVALS = "arrivals AS (SELECT event_id, CONCAT('k', CAST(user_id AS VARCHAR), event_type) AS hash_id, event_type FROM events)"
 
 
+@query("s1_relational_read", "SELECT c_custkey AS code, c_nationkey AS nation, c_mktsegment AS segment FROM customer")
+def relational_read(spark, sf):
+    """Customers out of a relational database in four range reads: the embedded engine that Spark ships with, so in
+    local mode only, where tasks share its process."""
+    url = f"jdbc:derby:memory:q{uuid.uuid4().hex}"
+    spark._jvm.System.setProperty("derby.stream.error.file", os.devnull)
+    rows = read(spark, sf, "customer").select(F.col("c_custkey").alias("code"), F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"))
+    rows.write.format("jdbc").options(url=url + ";create=true", dbtable="crm", createTableColumnTypes="segment VARCHAR(40)").save()
+    return tables.read_table(spark, url, "crm", "code", parts=4).select("code", "nation", "segment")
+
+
 @query("s7_e3_insert_new", f"WITH {_ARRIVALS} SELECT event_id, hash_id FROM arrivals WHERE hash_id NOT IN (SELECT hash_id FROM arrivals WHERE event_id % 10 = 0) QUALIFY row_number() OVER (PARTITION BY hash_id ORDER BY event_id) = 1")
 def insert_new(spark, sf):
     d = read(spark, sf, "events").select("event_id", F.concat(F.lit("k"), F.col("user_id").cast("string"), F.col("event_type")).alias("hash_id"))

@@ -247,6 +247,33 @@ def files_of(path):
     return {p.relative_to(path).as_posix(): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
 
 
+def test_relational_read(spark):
+    """Range reads of the database that Spark ships with: bounds from the table, rows with a null column, empty tables."""
+    import os
+    import uuid
+
+    url = f"jdbc:derby:memory:t{uuid.uuid4().hex}"
+    spark._jvm.System.setProperty("derby.stream.error.file", os.devnull)
+    d = spark.createDataFrame([(i, f"n{i}") for i in range(-5, 95)] + [(None, "none")], "id int, name string")
+    d.write.format("jdbc").options(url=url + ";create=true", dbtable="t", createTableColumnTypes="name VARCHAR(20)").save()
+    got = tables.read_table(spark, url, "t", "id", 4)
+    assert got.rdd.getNumPartitions() == 4 and sorted(r.name for r in got.collect()) == sorted(r.name for r in d.collect())
+    assert max(r.n for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()) < 35
+    assert tables.read_table(spark, url, "t", "id", 4, low=0, high=10).count() == 101
+    d.where("id is null").write.format("jdbc").options(url=url, dbtable="e", createTableColumnTypes="name VARCHAR(20)").save()
+    assert tables.read_table(spark, url, "e", "id", 4).count() == 1
+
+
+def test_pages_join_to_the_whole_order(spark):
+    rows = [(i, (i * 7) % 5 if i % 6 else None) for i in range(60)]
+    d = spark.createDataFrame(rows, "k long, s int")
+    want, got, last = [(r.k, r.s) for r in d.orderBy(F.desc_nulls_last("s"), "k").collect()], [], None
+    while some := reports.page_after(d, "s", "k", 7, last).collect():
+        got += [(r.k, r.s) for r in some]
+        last = (some[-1].s, some[-1].k)
+    assert got == want
+
+
 def test_crowded_cells_give_the_same_pairs(spark):
     """A crowd in one cell and around it, names that repeat, points at the edges, blanks."""
     rng = random.Random(4)
