@@ -240,6 +240,19 @@ def page_contacts(spark, sf):
     return webpages.propagate_contacts(results, webpages.contacts_of(pages))
 
 
+@query("t26_t27_page_facts", r"""WITH h AS (SELECT page_id, url, concat(CASE WHEN page_id % 3 = 0 THEN concat('<META NAME="Description" content=', chr(39), 'Sitio ', page_id, chr(39), '>') WHEN page_id % 3 = 1 THEN concat('<meta property="og:description" content="Og ', page_id, '"><meta name="keywords" content="x">') ELSE '' END,
+    CASE WHEN page_id % 4 = 0 THEN '<a href="/otra">Otra</a><a class="c" href="/contacto?x=1">Escr&iacute;banos</a>' WHEN page_id % 4 = 1 THEN '<a href=contact.html><b>Ir</b></a>' WHEN page_id % 4 = 2 THEN '<a href="https://z.co/p">Atencion al cliente</a>' ELSE '' END, html) AS html FROM pages)
+  SELECT page_id, CASE page_id % 3 WHEN 0 THEN regexp_extract(html, '(?i)name="description" content=.([^>]*).>', 1) WHEN 1 THEN regexp_extract(html, 'og:description" content="([^"]*)', 1) END AS description,
+    CASE WHEN page_id % 4 = 0 THEN concat(regexp_extract(url, '^[a-z]+://[^/]+'), regexp_extract(html, 'href="(/contacto[^"]*)', 1)) WHEN page_id % 4 = 1 THEN concat(regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', ''), 'contact.html') WHEN page_id % 4 = 2 THEN 'https://z.co/p' END AS contact FROM h""")
+def page_facts(spark, sf):
+    """Descriptions and contact links of the pages with a head of their own; a quarter of them needs the parser."""
+    i = F.col("page_id")
+    meta = F.when(i % 3 == 0, F.concat(F.lit("<META NAME=\"Description\" content='Sitio "), i.cast("string"), F.lit("'>"))).when(i % 3 == 1, F.concat(F.lit('<meta property="og:description" content="Og '), i.cast("string"), F.lit('"><meta name="keywords" content="x">'))).otherwise("")
+    link = F.when(i % 4 == 0, '<a href="/otra">Otra</a><a class="c" href="/contacto?x=1">Escr&iacute;banos</a>').when(i % 4 == 1, "<a href=contact.html><b>Ir</b></a>").when(i % 4 == 2, '<a href="https://z.co/p">Atencion al cliente</a>').otherwise("")
+    d = read(spark, sf, "pages").select("page_id", "url", F.concat(meta, link, "html").alias("html"))
+    return webpages.with_facts(d).select("page_id", "f.description", "f.contact")
+
+
 @query("t28_facts", r"""SELECT doc_id, nullif(regexp_extract(text, '(?i)\bNIT\s*:?\s*([0-9]{8,10})', 1), '') AS nit, nullif(regexp_replace(regexp_extract(text, '(?:\+?57[ -]?)?(3[0-9]{2}[ -]?[0-9]{3}[ -]?[0-9]{4})', 1), '[^0-9]', '', 'g'), '') AS phone,
   nullif(regexp_extract(lower(text), '[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,}', 0), '') AS email FROM documents""")
 def t28(spark, sf):

@@ -247,6 +247,22 @@ def files_of(path):
     return {p.relative_to(path).as_posix(): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
 
 
+def test_scanned_pages_equal_the_parser(spark):
+    """Random heads and links: what the patterns say they can read is what the parser reads."""
+    rng = random.Random(6)
+    parts = ["<meta name='description' content=\"a 'b' c\">", '<META content="og" property=og:description>', '<meta name=description content="">', '<meta name="x" content="name=description">', "<a href='/contacto'>x</a>", '<a  class="k" href=contact.html >y<b>z</b></a>', '<a href="//h.co/contact">x</a>',
+             '<a href="../contact">x</a>', '<a href="#x">Contáctanos contactanos</a>', "<a name=q>contact</a>", '<a href="http://q.co/z?a=1&amp;b=2">ATENCION</a>', "<!-- <a href='/contact'>no</a> -->", "<script>'<a href=\"/contact\">'</script>", "<title><meta name=description content=no></title>", "text contact &amp; more", '<a href="/u" title="a>b">contact</a>',
+             '<a href="/one">un<a href="/contact/two">dos</a>', "<a href='/broken>contact</a>", "<p>", '<a href="mailto:contact@x.co">m</a>', '<meta name="description" content="t &eacute;">', "<a href='/q'>", "\n"]
+    rows = [(i, rng.choice(["http://a.co/i", "https://b.co", "http://c.co/d/e.html?x=/y", "bad", None]), "".join(rng.choice(parts) for _ in range(rng.randint(0, 5)))) for i in range(600)] + [(9000, "http://a.co", None)]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    both = d.select("page_id", "html", "url", webpages.scanned_facts(F.col("url"), F.col("html")).alias("s"), webpages.page_facts("url", "html").alias("p")).collect()
+    for r in both:
+        assert not r.s.read or (r.s.description, r.s.contact) == (r.p.description, r.p.contact), r
+    assert sum(r.s.read for r in both) > 200 and sum(r.s.read and r.s.contact is not None for r in both) > 40
+    want = {r.page_id: (r.p.description, r.p.contact) for r in both}
+    assert {r.page_id: tuple(r.f) for r in webpages.with_facts(d).collect()} == want
+
+
 def test_relational_read(spark):
     """Range reads of the database that Spark ships with: bounds from the table, rows with a null column, empty tables."""
     import os
