@@ -233,7 +233,10 @@ def t25(spark, sf):
     return read(spark, sf, "pages").select("page_id", X.extract_emails(F.col("html")).alias("emails"), X.extract_phones(F.col("html")).alias("phones"))
 
 
-@query("t26_t27_u17_page_contacts")
+@query("t26_t27_u17_page_contacts", r"""WITH c AS (SELECT url, list_sort(list_distinct(regexp_extract_all(lower(html), '[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,}'))) AS emails,
+  list_filter(list_sort(list_distinct(regexp_extract_all(""" + HTML_TEXT + r""", '\+?[0-9][0-9 ()\-]{5,16}[0-9]'))), lambda p: length(regexp_replace(p, '[^0-9]', '', 'g')) BETWEEN 7 AND 13) AS phones,
+  list_sort(list_distinct(regexp_extract_all(html, 'https?://(?:wa\.me|api\.whatsapp\.com)/[^\s"''<>]+'))) AS chats, nullif(regexp_extract(html, '<meta name="description" content="([^"]*)"', 1), '') AS description FROM pages)
+  SELECT 'organic' AS result_type, url, emails[1] AS email, phones[1] AS phone, chats[1] AS whatsapp, coalesce(emails[1], phones[1], chats[1], description) IS NOT NULL AS is_enriched FROM c WHERE trim(url) <> ''""")
 def page_contacts(spark, sf):
     pages = read(spark, sf, "pages")
     results = pages.select(F.lit("organic").alias("result_type"), "url", F.lit(None).cast("string").alias("email"), F.lit("").alias("phone"))
@@ -852,6 +855,17 @@ def run_report(spark, sf):
     return reports.run_report(d, matching.all_matches(d), _entities(spark, sf))
 
 
+@query("a27_run_figures", f"""SELECT m.total AS matches, m.auto_match, m.pending, e.total AS entities, e.approval, e.average, h.from_0, h.from_60, h.from_80,
+  (SELECT string_agg(concat(source, ':', n), ',' ORDER BY source) FROM (WITH {REC} SELECT source, count(*) AS n FROM rec GROUP BY source)) AS by_source,
+  (SELECT string_agg(concat(place, ':', n), ',' ORDER BY n DESC, place DESC) FROM (WITH RECURSIVE {ENTITIES} SELECT place, count(*) AS n FROM entities WHERE place IS NOT NULL GROUP BY place ORDER BY n DESC, place LIMIT 5)) AS top_places
+  FROM ({ORACLES['a14_match_stats']}) m, ({ORACLES['a15_a17_reports']}) e, ({ORACLES['a9_a10_quality_figures']}) h""")
+def run_figures(spark, sf):
+    """The nested run report, read field by field."""
+    listed = lambda c, f: F.array_join(F.transform(c, lambda x: F.concat(x[f], F.lit(":"), x["n"].cast("string"))), ",")
+    return run_report(spark, sf).select(F.col("matches.total").alias("matches"), "matches.auto_match", "matches.pending", F.col("entities.total").alias("entities"), "entities.approval", "entities.average",
+                                        "histogram.from_0", "histogram.from_60", "histogram.from_80", listed("by_source", "source").alias("by_source"), listed("top_places", "place").alias("top_places"))
+
+
 # ---------------------------------------------------------------- payloads and files of the other sources
 
 @query("x2_panel_phones", """SELECT page_id, CASE page_id % 3 WHEN 0 THEN concat('601 ', page_id) WHEN 1 THEN concat('602 ', page_id) END AS phone FROM pages""")
