@@ -167,10 +167,10 @@ def _ranges(flag: np.ndarray) -> list[int]:
     return edge.tolist()
 
 
-def with_digest(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def with_digest(docs: DataFrame, text_col: str = "text", d1: str = "d1", d2: str = "d2") -> DataFrame:
     """Adds d1, d2: a 128-bit digest that names a text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.withColumns({"d1": F.xxhash64(text), "d2": F.xxhash64(F.lit("second"), text)})
+    return docs.withColumns({d1: F.xxhash64(text), d2: F.xxhash64(F.lit("second"), text)})
 
 
 def repeated_spans(docs: DataFrame, length: int = 400, text_col: str = "text") -> DataFrame:
@@ -253,11 +253,13 @@ def repeated_spans(docs: DataFrame, length: int = 400, text_col: str = "text") -
     result = materialize(result.where(F.size("ranges") > 0))
     shift = F.expr("flatten(transform(starts, s -> transform(sequence(0, size(ranges) div 2 - 1), i -> struct(s + ranges[2 * i] as a, s + ranges[2 * i + 1] - 1 + %d as b))))" % length)
     runs = regions.join(result, ["fp", "r1", "r2"]).select("d1", "d2", shift.alias("runs"))
-    runs = runs.groupBy("d1", "d2").agg(F.array_sort(F.flatten(F.collect_list("runs"))).alias("runs"))
-    joined = F.expr("""aggregate(runs, array(struct(-1 as a, -1 as b)), (acc, x) -> if(x.a <= element_at(acc, -1).b,
-        concat(slice(acc, 1, size(acc) - 1), array(struct(element_at(acc, -1).a as a, greatest(element_at(acc, -1).b, x.b) as b))),
-        concat(acc, array(struct(x.a as a, x.b as b)))), acc -> slice(acc, 2, size(acc)))""")
-    out = materialize(runs.select("d1", "d2", joined.alias("runs")).select("d1", "d2", F.expr("transform(runs, x -> struct(x.a as `from`, x.b as `to`))").alias("spans")))
+    runs = runs.groupBy("d1", "d2").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    # joined runs, in time linear in the sorted ends: the i-th start begins a run if i ends lie before it, and then the
+    # last of these ends one
+    ends = runs.select("d1", "d2", F.expr("sort_array(transform(runs, x -> x.a))").alias("a"), F.expr("sort_array(transform(runs, x -> x.b))").alias("b"))
+    joined = F.expr("""zip_with(filter(a, (x, i) -> coalesce(x > get(b, i - 1), true)), filter(b, (x, i) -> coalesce(x < get(a, i + 1), true)),
+        (x, y) -> struct(x as `from`, y as `to`))""")
+    out = materialize(ends.select("d1", "d2", joined.alias("spans")))
     release(found, live, texts, regions, distinct, per, result, copies)
     return out
 
@@ -309,9 +311,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, text_col: str = "text", w
     whole_chars: a run that starts or ends inside a character leaves that character, so kept stays valid UTF-8.
     """
     arrow_batches(docs.sparkSession)
-    docs = docs.drop("d1", "d2", "spans", "kept", "n_bytes")
-    spans = repeated_spans(docs.select(text_col), length, text_col)
-    d = with_digest(docs, text_col).join(spans, ["d1", "d2"], "left").drop("d1", "d2")
+    docs = docs.drop("spans", "kept", "n_bytes")
+    spans = repeated_spans(docs.select(text_col), length, text_col).withColumnsRenamed({"d1": "__d1", "d2": "__d2"})
+    d = with_digest(docs, text_col, "__d1", "__d2").join(spans, ["__d1", "__d2"], "left").drop("__d1", "__d2")
     names = d.columns
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
