@@ -211,6 +211,25 @@ def test_vectors_of_many_lengths(spark):
     assert got == {i: (len(range(i % 90, 200, 90)) - 1, i % 90) for i in range(200)}
 
 
+def test_vectors_of_extreme_components(spark):
+    big, small = [[1e200, 1e200], [2e200, 2e200], [1e200, -1e200]], [[1e-200, 1e-200, 0.0], [3e-200, 3e-200, 0.0], [0.0, 0.0, 1e-200]]
+    rows = list(enumerate(big + small + [[1.7e308] * 4, [1e-300] * 4]))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.embedding_components(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {0: (1, 0), 1: (1, 0), 2: (0, 2), 3: (1, 3), 4: (1, 3), 5: (0, 5), 6: (1, 6), 7: (1, 6)}
+
+
+def test_repeats_of_many_runs_and_columns_of_any_name(spark):
+    """A text of many separate repeated runs, touching and nested ones; columns named like helpers stay."""
+    rng = random.Random(3)
+    part = ["".join(rng.choice("abcdefgh") for _ in range(260)) for _ in range(30)]
+    glue = lambda: "".join(rng.choice("stuvwxyz") for _ in range(rng.randint(0, 9)))
+    texts = ["".join(rng.choice(part) + glue() for _ in range(60)) for _ in range(6)] + [part[0], part[0] + part[1], ""]
+    d = spark.createDataFrame([(i, t, i, -i) for i, t in enumerate(texts)], "doc_id long, text string, d1 long, d2 long")
+    got = {r.doc_id: r for r in S.remove_repeats(d, length=200).collect()}
+    for i, want in enumerate(brute_spans([t.encode() for t in texts], 200)):
+        assert [(s["from"], s["to"]) for s in got[i].spans or []] == want and (got[i].d1, got[i].d2) == (i, -i), i
+
+
 def line_link(a, b):
     """Whether two normal forms are linked."""
     bits = (py_simhash(a) ^ py_simhash(b)).bit_count()
