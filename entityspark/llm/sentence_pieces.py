@@ -357,12 +357,14 @@ def encode_pieces(docs: DataFrame, model: str, chunk_chars: int = 16384, id_col:
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in ("doc_id", "row_id", "chunk")] + [pa.array(covered, pa.string()), pa.array(ids, pa.binary())], ["doc_id", "row_id", "chunk", "text", "ids"])
 
     schema = f"doc_id {kind}, row_id long, chunk int, text string, ids binary"
+    # written first: rows are numbered in the order of files, which a task that runs again finds unchanged
+    giants = materialize(d.where(F.length("text") > chunk_chars))
     if merged:
         one = d.where(F.length("text") <= chunk_chars).mapInArrow(short_merged, schema)
-        cut = d.where(F.length("text") > chunk_chars).mapInArrow(cut_merged, f"doc_id {kind}, row_id long, chunk int, text string")
+        cut = giants.mapInArrow(cut_merged, f"doc_id {kind}, row_id long, chunk int, text string")
         return one.unionAll(materialize(cut.repartition("row_id", "chunk")).mapInArrow(long_merged, schema))
     one = d.where(F.length("text") <= chunk_chars).mapInArrow(short, schema)
-    chunks = d.where(F.length("text") > chunk_chars).mapInArrow(split, f"doc_id {kind}, row_id long, chunk int, text string, after string, since int")
+    chunks = giants.mapInArrow(split, f"doc_id {kind}, row_id long, chunk int, text string, after string, since int")
     chunks = materialize(chunks.repartition("row_id", "chunk"))
     found = chunks.mapInArrow(matrices, "row_id long, chunk int, matrix binary").groupBy("row_id").applyInArrow(states, "row_id long, chunk int, enter int, leave int")
     giant = chunks.join(found, ["row_id", "chunk"]).select("doc_id", "row_id", "chunk", "text", "after", "since", "enter", "leave").mapInArrow(trace, schema)
