@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entityspark.llm.common import SPACE, SPACES, hinted
@@ -72,14 +72,30 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame:
     return arrays.select(ratio.alias("ratios"))
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 15, threshold: float = -0.085, min_words: int = 50,
+def label_threshold(scored: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row with threshold: where the llr parts documents labelled 1 from those labelled 0 with the least sum of both
+    classes' shares on the wrong side, in steps of 0.001, midway to the next document below; the lowest of equally good
+    places. Documents that fail the base rules don't count. Null where a class has no document."""
+    found = scored.where("not base_failed").join(labels, "doc_id")
+    bins = found.groupBy(F.round("llr", 3).alias("bin")).agg(F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad"))
+    # at most some tens of thousands of bins, as a mean of log ratios of counts lies within a few dozen of 0
+    below, all_bins = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
+    lost = F.coalesce(F.sum("good").over(below), F.lit(0)) / F.nullif(F.sum("good").over(all_bins), F.lit(0))
+    bad = F.sum("bad").over(all_bins)
+    passed = (bad - F.coalesce(F.sum("bad").over(below), F.lit(0))) / F.nullif(bad, F.lit(0))
+    places = bins.select(((F.lag("bin").over(Window.orderBy("bin")) + F.col("bin")) / 2).alias("middle"), "bin", (lost + passed).alias("wrong"))
+    return places.where("wrong is not null").agg(F.min_by(F.coalesce("middle", "bin"), F.struct("wrong", "bin")).alias("threshold"))
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 15, threshold: float | None = None, min_words: int = 50,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, llr, kept for every row.
 
     llr: the mean over a text's words and word pairs of the log-likelihood ratio between the documents labelled with
-    quality 1 and all documents; kept: the base rules hold and llr >= threshold. Null text counts as empty and fails
+    quality 1 and all documents; kept: the base rules hold and llr >= threshold. threshold: one number for all documents; None
+    takes it from the labels (label_threshold), and where these have one class only the base rules decide. Null text counts as empty and fails
     the base rules with llr 0; repeated rows are judged each; labels repeated or null for a document count once if any
-    says 1; without labels every ratio is a constant near 0 and only the base rules decide. Everything of one text
+    says 1. Everything of one text
     stays in its row, so a text of any length needs no shuffle; only trusted texts are joined, on doc_id.
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -90,6 +106,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 15, th
     d = d.withColumn("llr", F.expr("round(aggregate(features, 0D, (a, x) -> a + coalesce(get(ratios, x), 0D)) / greatest(1, size(features)), 9)"))
     d = d.withColumn("base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     # one generated row each: a filter on the result then can't move below, into the functions over each word
-    kept = ~F.col("base_failed") & (F.col("llr") >= threshold)
-    row = F.struct("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", kept.alias("kept"))
-    return d.select("doc_id", F.explode(F.array(row)).alias("q")).select("doc_id", "q.*")
+    row = F.struct("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr")
+    scored = d.select("doc_id", F.explode(F.array(row)).alias("q")).select("doc_id", "q.*")
+    if threshold is not None:
+        return scored.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+    scored = materialize(scored)
+    said = labels.where("quality in (0, 1)").groupBy(F.col(id_col).alias("doc_id")).agg(F.max("quality").cast("long").alias("quality"))
+    found = label_threshold(scored, said)
+    scored = docs.sparkSession.sql("SELECT *, (SELECT threshold FROM {t}) AS threshold FROM {s}", t=found, s=scored)
+    return scored.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("llr") >= F.col("threshold"), F.lit(True))).drop("threshold")

@@ -199,3 +199,25 @@ def test_pipeline_equals_plain_python(spark, tmp_path):
         seqs[r.sequence_id] = seqs.get(r.sequence_id, 0) + r.length
     assert got == {i: [*tok.encode(t, add_special_tokens=False).ids, 1] for i, t in cut.items()}
     assert all(n == 2048 or n & (n - 1) == 0 for n in seqs.values())
+
+
+def test_quality_threshold_from_labels(spark):
+    """The bound lies between the labelled classes wherever they are; a given number is taken as it is."""
+    from entityspark.llm.quality import label_threshold, quality_rules
+
+    rng = random.Random(4)
+    good, bad = (["".join(rng.choice("abcdefghijklm") for _ in range(6)) for _ in range(80)] for _ in range(2))
+    docs = [(i, " ".join(rng.choice(good if i % 3 else bad) for _ in range(70))) for i in range(90)] + [(90, None), (91, "few words"), (92, "")]
+    labels = [(i, int(i % 3 > 0)) for i in range(60)] + [(5, 0), (91, 1), (90, None), (7, 1), (1000, 0)]
+    d, l = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality_rules(d, l).collect()}
+    assert len(got) == 93 and all(got[i].kept == (i % 3 > 0 and i < 90) for i in got)
+    low = min(r.llr for r in got.values()) - 1
+    assert all(r.kept != r.base_failed for r in quality_rules(d, l, threshold=low).collect())
+    for some in (l.where("quality = 1"), l.limit(0)):
+        assert all(r.kept != r.base_failed for r in quality_rules(d, some).collect())
+    assert quality_rules(d.limit(0), l).count() == 0
+    scored = spark.createDataFrame([(1, 0.5, False), (2, 0.25, False), (3, -0.1, False), (4, 0.3, False), (5, -9.0, True)], "doc_id long, llr double, base_failed boolean")
+    said = spark.createDataFrame([(1, 1), (2, 1), (3, 0), (4, 0), (5, 1)], "doc_id long, quality long")
+    # one of two bad ones passes with both good ones, or none with one good one: equally good, so the lower place
+    assert abs(label_threshold(scored, said).first()[0] - 0.075) < 1e-9
