@@ -160,6 +160,8 @@ def test_pipeline_equals_plain_python(spark, tmp_path):
     rows += [(50, rows[3][1], "de", "s"), (51, rows[4][1] + " more", "en", "s"), (52, None, "en", "s"), (53, "12 34", None, "s"), (54, rows[5][1].split("\n")[0] + "\n" + line("de", 20), "de", "s")]
     long = line("de", 200).split(" ")
     rows += [(60 + i, " ".join(long[:100 * i] + ["x"] * i + long[100 * i:]), "de", "s") for i in range(2)]
+    # the passage in lines of other lengths, which are not similar; those above are
+    rows += [(70 + i, f"{line('en', n)} {passage} {line('en', n)}", "en", "s") for i, n in enumerate((45, 90, 160))]
     d = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
     d.write.parquet(str(tmp_path / "documents.parquet"))
     d = spark.read.parquet(str(tmp_path / "documents.parquet"))
