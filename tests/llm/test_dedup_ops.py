@@ -324,6 +324,27 @@ def test_line_keys_of_many_alike_lines_stay_linear(spark):
     assert counts[1] <= 8 * counts[0]
 
 
+def test_lines_that_meet_by_chance_make_no_pairs(spark, monkeypatch):
+    """Lines that share keys and no likeness: a key's aggregation or join ends them, no pair is written."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    lines = [" ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(8)) for _ in range(150)]
+    d = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    rows, write = [], L.materialize
+
+    def counted(df):
+        out = write(df)
+        if out.columns[:2] == ["a", "b"]:
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(L, "materialize", counted)
+    monkeypatch.setattr(L, "block_keys", lambda sig, n: F.array(F.pmod(F.col(sig), F.lit(100)) * 2))
+    assert L.dedup_lines(d).where("n_removed > 0").isEmpty()
+    assert rows and not any(rows)
+
+
 def test_word_by_word_bound(spark):
     """Never below the edit distance, and equal to it for words replaced by others of their length."""
     from pyspark.sql import functions as F
