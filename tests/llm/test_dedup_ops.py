@@ -345,6 +345,30 @@ def test_lines_that_meet_by_chance_make_no_pairs(spark, monkeypatch):
     assert rows and not any(rows)
 
 
+def test_line_pairs_of_a_shared_passage_come_once(spark, monkeypatch):
+    """Lines with a passage in common and other words around it share several anchors and are not similar: each pair is
+    counted under one of them only."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    passage = [word() for _ in range(36)]
+    norms = [" ".join([*(word() for _ in range(i % 3 * 5)), *passage, *(word() for _ in range((2 - i % 3) * 5 + 7))]) for i in range(24)]
+    sig, anchors = {x: py_simhash(x) for x in norms}, {x: py_anchors(x) for x in norms}
+    pairs = [(a, b) for a, b in combinations(norms, 2) if (sig[a] ^ sig[b]).bit_count() <= 14 and anchors[a] & anchors[b]]
+    assert sum(len(anchors[a] & anchors[b]) for a, b in pairs) > 1.2 * len(pairs) > 60 and not any(line_link(a, b) for a, b in pairs)
+    counts, write = [], L.materialize
+
+    def counted(df):
+        out = write(df)
+        if {"p", "n"} <= set(out.columns):
+            counts.append(out.agg({"n": "sum"}).first()[0])
+        return out
+
+    monkeypatch.setattr(L, "materialize", counted)
+    d = spark.createDataFrame(list(enumerate(norms)), "doc_id long, text string")
+    assert L.dedup_lines(d).where("n_removed > 0").isEmpty()
+    assert counts and 0 < counts[0] <= len(pairs)
+
+
 def test_word_by_word_bound(spark):
     """Never below the edit distance, and equal to it for words replaced by others of their length."""
     from pyspark.sql import functions as F
