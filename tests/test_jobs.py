@@ -130,6 +130,22 @@ def test_similarity_stars_join_what_all_pairs_join(spark, monkeypatch):
     assert groups[0] == groups[1] and matching.similarity_join(d, "s", 0.7, "blk", pairs="star").count() == 28
 
 
+def test_strings_that_all_blocks_share_are_compared_once(spark, monkeypatch):
+    """The same pairs as block by block; strings of all blocks meet in one comparison, of single blocks in theirs."""
+    rng, seen = random.Random(9), []
+    real = matching._similar_strings
+    monkeypatch.setattr(matching, "_similar_strings", lambda t, at: (seen.append(t.count()), real(t, at))[1])
+    words = [f"{a} {b}" for a in ("ferro", "ferros", "casa", "casas") for b in ("norte", "nortes", "sur")]
+    shared = [(i, str(i % 20), words[i // 20 % 12]) for i in range(480)]
+    own = [(i, str(i), rng.choice(words) + f" {i}{i}{i}") for i in range(40)]
+    for rows, most in ((shared, 12), (own, 40)):
+        d = spark.createDataFrame(rows, "record_id long, blk string, s string")
+        got = sorted((r.a, r.b) for r in matching.similarity_join(d, "s", 0.6, "blk").collect())
+        pairs = d.alias("x").join(d.alias("y"), F.expr("x.blk = y.blk and x.record_id < y.record_id")).where(X.trigram_similarity(F.col("x.s"), F.col("y.s")) >= 0.6)
+        assert got == sorted((r[0], r[1]) for r in pairs.select("x.record_id", "y.record_id").collect())
+        assert seen.pop() == most
+
+
 def test_exact_pairs_are_counted_without_making_them(spark):
     rng = random.Random(8)
     rows = [(i, rng.choice(["casa norte", "casa sur", "sol"]), rng.choice(["x", "y"]), rng.choice([None, "", "900000001", "900000002"]), rng.choice([None, "a@b.co"]), rng.choice([None, "3001234567", "300"]), rng.choice([None, "r1", "r2"])) for i in range(60)]
