@@ -406,3 +406,33 @@ def test_reports_write(spark, resolved, tmp_path):
     (tmp_path / "c.csv").write_text("Código de cliente , Nombre de la cuenta,Población\n1,A,Cali\n1,B,\n")
     c = contrast.dedup_customers(contrast.read_customers(spark, str(tmp_path / "c.csv"))).collect()
     assert [(x.code, x.account, x.place, x.mobile) for x in c] == [("1", "A", "Cali", "")]
+
+
+RULE_COLUMNS = "record_id long, name_norm string, place_norm string, key_nit string, email_norm string, phone_norm string, register_id string"
+
+
+def rule_rows(spark):
+    rng = random.Random(18)
+    rows = [(i, rng.choice(["casa norte", "casa nortes", "sol", None]), rng.choice(["x", "y"]), rng.choice([None, "", "900000001", "900000002"]), rng.choice([None, "", "a@b.co"]), rng.choice([None, "3001234567", "300"]), rng.choice([None, "", "r1", "r2"])) for i in range(70)]
+    return spark.createDataFrame(rows, RULE_COLUMNS)
+
+
+def test_exact_matches_have_their_first_rule_without_a_shuffle_of_pairs(spark):
+    d = rule_rows(spark)
+    want = matching.resolve_rules([matching.match_on(d, k, r, s, guard=g) for r, k, s, g in matching.EXACT_RULES])
+    got = matching.exact_matches(d, keep=["email_norm"])
+    assert sorted(got.select(*want.columns).collect()) == sorted(want.collect())
+    both = {(r.a, r.b): (r.a_email_norm, r.b_email_norm) for r in got.collect()}
+    email = {r.record_id: r.email_norm for r in d.collect()}
+    assert all(v == (email[a], email[b]) for (a, b), v in both.items())
+    stars = {tuple(r) for r in matching.exact_matches(d, "star").collect()}
+    assert {s[:2] for s in stars} <= set(both)
+
+
+def test_resolution_finds_review_links_when_they_are_read(spark, monkeypatch):
+    calls = []
+    real = matching.similarity_join
+    monkeypatch.setattr(matching, "similarity_join", lambda *a, **b: (calls.append(1), real(*a, **b))[1])
+    r = resolve(spark.createDataFrame(corpus(), RAW))
+    assert r.entities.count() > 0 and not calls
+    assert r.matches.where("decision = 'pending'").count() > 0 and calls
