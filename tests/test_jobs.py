@@ -436,3 +436,13 @@ def test_resolution_finds_review_links_when_they_are_read(spark, monkeypatch):
     r = resolve(spark.createDataFrame(corpus(), RAW))
     assert r.entities.count() > 0 and not calls
     assert r.matches.where("decision = 'pending'").count() > 0 and calls
+
+
+def test_entity_statistics_make_no_pairs(spark, monkeypatch):
+    from entityspark import queries
+
+    kinds = []
+    real = matching.match_on
+    monkeypatch.setattr(matching, "match_on", lambda *a, pairs="all", **b: (kinds.append(pairs), real(*a, pairs=pairs, **b))[1])
+    got = queries.QUERIES["a4_a8_entity_stats"](spark, "/root/testdata/sf0.001")
+    assert got.where("n_matches != n_first").isEmpty() and set(kinds) == {"star"}
