@@ -446,3 +446,16 @@ def test_entity_statistics_make_no_pairs(spark, monkeypatch):
     monkeypatch.setattr(matching, "match_on", lambda *a, pairs="all", **b: (kinds.append(pairs), real(*a, pairs=pairs, **b))[1])
     got = queries.QUERIES["a4_a8_entity_stats"](spark, "/root/testdata/sf0.001")
     assert got.where("n_matches != n_first").isEmpty() and set(kinds) == {"star"}
+
+
+def test_equal_names_are_compared_once(spark, tmp_path, monkeypatch):
+    """Copies of a table under shifted keys have the same pairs of neighbours, but for the seams."""
+    from entityspark import queries
+
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    n, sizes = part.count(), []
+    for i in range(5):
+        part.withColumn("p_partkey", F.col("p_partkey") + i * n).write.mode("append").parquet(str(tmp_path / "part.parquet"))
+    monkeypatch.setattr(queries, "spread", lambda d: (sizes.append((d.columns, d.count())), d)[1])
+    assert queries.QUERIES["t30_fuzzy_ratios"](spark, str(tmp_path)).count() == 5 * n - 1
+    assert [c for names, c in sizes if names == ["x", "y"]][0] <= n + 4
