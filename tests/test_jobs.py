@@ -459,3 +459,11 @@ def test_equal_names_are_compared_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(queries, "spread", lambda d: (sizes.append((d.columns, d.count())), d)[1])
     assert queries.QUERIES["t30_fuzzy_ratios"](spark, str(tmp_path)).count() == 5 * n - 1
     assert [c for names, c in sizes if names == ["x", "y"]][0] <= n + 4
+
+
+def test_similar_names_without_exact_pairs(spark):
+    d = rule_rows(spark)
+    known = matching.resolve_rules([matching.match_on(d, k, r, s, guard=g) for r, k, s, g in matching.EXACT_RULES])
+    want = matching.hydrate(matching.unmatched(matching.similar_names(d), known), d, ["name_norm"])
+    got = matching.similar_names_only(d, ["name_norm"]).select(*want.columns)
+    assert sorted(got.collect()) == sorted(want.collect()) and want.count() > 10
