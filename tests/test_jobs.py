@@ -467,3 +467,11 @@ def test_similar_names_without_exact_pairs(spark):
     want = matching.hydrate(matching.unmatched(matching.similar_names(d), known), d, ["name_norm"])
     got = matching.similar_names_only(d, ["name_norm"]).select(*want.columns)
     assert sorted(got.collect()) == sorted(want.collect()) and want.count() > 10
+
+
+def test_match_report_is_packed_and_read_back(spark, monkeypatch, tmp_path):
+    from entityspark import queries
+
+    monkeypatch.setattr(queries, "scratch_path", lambda s: str(tmp_path / "report"))
+    assert queries.QUERIES["s6_nested_reports"](spark, "/root/testdata/sf0.01").count() == 1158
+    assert list((tmp_path / "report").glob("*.json.gz")) and not list((tmp_path / "report").glob("*.json"))
