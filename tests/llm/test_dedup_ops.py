@@ -168,6 +168,22 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
     assert E.embedding_components(d.limit(0)).count() == 0
 
 
+def test_vectors_of_single_precision_stay_so(spark, monkeypatch):
+    """Cells and blocks shuffle copies of the vectors as they came, and leave Python a few at a time; same links."""
+    from pyspark.sql import functions as F
+
+    rng, kinds = np.random.default_rng(5), []
+    v = rng.normal(size=(8, 24))[rng.integers(0, 8, 120)] + rng.normal(size=(120, 24)) * 0.15
+    d = spark.createDataFrame([(i, x.astype(np.float32).tolist()) for i, x in enumerate(v)] + [(120, [-0.0] + [1.0] * 23), (121, [0.0] + [1.0] * 23)], "vec_id long, embedding array<float>")
+    want = sorted(E.embedding_components(d.withColumn("embedding", F.col("embedding").cast("array<double>"))).collect())
+    real = E.materialize
+    monkeypatch.setattr(E, "materialize", lambda f: (kinds.append(dict(f.dtypes).get("embedding")), real(f))[1])
+    monkeypatch.setattr(E, "ENTRIES", 40)
+    monkeypatch.setattr(E, "SENT", 60)
+    assert sorted(E.embedding_components(d, cell=20, block=16).collect()) == want and sum(r.n_links for r in want) > 100
+    assert set(kinds) == {"array<float>", None}
+
+
 def py_norm(line):
     import regex
 
