@@ -489,3 +489,15 @@ def test_conflict_report_grows_with_its_records(spark, tmp_path):
         want = reports.nested_conflicts(quality.detect_conflicts(d, fields), d, ["name", "source"], cap=None)
         assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect())) and got.count() == n
     assert sizes[1] < 2.5 * sizes[0]
+
+
+def test_records_and_links_are_written_before_they_are_read_again(spark, monkeypatch):
+    from entityspark import queries
+
+    written = []
+    real = queries.materialize
+    monkeypatch.setattr(queries, "materialize", lambda d: (written.append(d.columns), real(d))[1])
+    assert queries.QUERIES["j17_review"](spark, "/root/testdata/sf0.001").count() > 0
+    assert ["a", "b", "rule", "score", "decision"] in written
+    queries.QUERIES["j2_exact_links"](spark, "/root/testdata/sf0.001").count()
+    assert written[-1] == ["record_id", "name_norm", "place_norm", "key_nit", "email_norm", "phone_norm"]
